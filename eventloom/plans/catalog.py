@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,21 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 from eventloom.operators import cohorts, daily, funnel, orders, products, sessions, staging, users
 from eventloom.sources.raw import replace_table
 
-# Datasets written by `materialize`, with the column their files are laid out by.
-TABLES = {
-    "stg_events": "event_date",
-    "stg_items": "event_date",
-    "session_funnel": "session_date",
-    "orders": "order_date",
-    "order_items": "order_date",
-    "users": None,
-    "executive_daily": None,
-    "funnel_daily": None,
-    "funnel_segment": "metric_date",
-    "product_performance": "metric_date",
-    "product_opportunity": None,
-    "customer_summary": None,
-    "cohort_retention": None,
+# Datasets written as tables, with the columns their files are laid out by.
+TABLES: dict[str, tuple[str | None, str | None]] = {
+    "stg_events": ("event_date", "event_name"),
+    "stg_items": ("event_date", "event_name"),
+    "session_funnel": ("session_date", None),
+    "orders": ("order_date", None),
+    "order_items": ("order_date", None),
+    "users": (None, None),
+    "executive_daily": (None, None),
+    "funnel_daily": (None, None),
+    "funnel_segment": ("metric_date", None),
+    "product_performance": ("metric_date", None),
+    "product_opportunity": (None, None),
+    "customer_summary": (None, None),
+    "cohort_retention": (None, None),
 }
 
 
@@ -42,17 +43,16 @@ class Catalog(Mapping[str, DataFrame]):
         date_to: str | None = None,
         warehouse: str | None = None,
     ):
-        self._raw = raw
-        self._range = (date_from, date_to)
         self._warehouse = warehouse
         self._built: dict[str, DataFrame] = {}
         self._recipes = {
-            "stg_events": lambda: staging.flatten_events(raw, *self._range),
-            "stg_items": lambda: staging.flatten_items(raw, *self._range),
+            "stg_events": lambda: staging.flatten_events(raw, date_from, date_to),
+            "stg_items": lambda: staging.flatten_items(raw, date_from, date_to),
             "session_orders": lambda: sessions.session_orders(self["stg_events"]),
             "sequential_funnel": lambda: funnel.sequential_funnel(self["stg_events"]),
-            "sessions": self._sessions,
-            "session_funnel": self._session_funnel,
+            "sessions": lambda: sessions.sessions(self["stg_events"]),
+            # Both sides come fresh from the events: they share the hash on the session id.
+            "session_funnel": lambda: funnel.session_funnel(self.plan("sessions"), self.plan("sequential_funnel")),
             "orders": lambda: orders.orders(self["stg_events"]),
             "order_items": lambda: orders.order_items(self["stg_items"], self["orders"]),
             "users": lambda: users.users(self["sessions"], self["orders"]),
@@ -66,25 +66,24 @@ class Catalog(Mapping[str, DataFrame]):
             "cohort_retention": lambda: cohorts.cohort_retention(self["sessions"], self["users"]),
         }
 
-    def _session_funnel(self) -> DataFrame:
-        rollup = sessions.sessions(self["stg_events"])
-        return funnel.session_funnel(rollup, self["sequential_funnel"])
-
-    def _sessions(self) -> DataFrame:
-        rollup = sessions.sessions(self["stg_events"])
-        if self._warehouse is None:
-            return rollup
-        # The funnel table holds every session; its first columns are the sessions.
-        return self["session_funnel"].select(*rollup.columns)
+    def plan(self, name: str) -> DataFrame:
+        """The dataset computed from its inputs, even where it is also a written table."""
+        return self._recipes[name]()
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
-            df = self._recipes[name]()
-            if self._warehouse is not None and name in TABLES:
-                df = replace_table(df, f"{self._warehouse}/{name}", TABLES[name])
-            self._built[name] = df
+            self._built[name] = self._build(name)
         return self._built[name]
 
+    def _build(self, name: str) -> DataFrame:
+        if self._warehouse is not None and name == "sessions":
+            # The funnel table holds every session; its first columns are the sessions.
+            return self["session_funnel"].select(*self.plan("sessions").columns)
+        df = self.plan(name)
+        if self._warehouse is not None and name in TABLES:
+            return replace_table(df, f"{self._warehouse}/{name}", *TABLES[name])
+        return df
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._recipes)
 
@@ -92,11 +91,16 @@ class Catalog(Mapping[str, DataFrame]):
         return len(self._recipes)
 
 
-def warehouse_path(spark: SparkSession, name: str = "eventloom") -> str:
-    """A folder for shared tables below the one the cluster names for checkpoints."""
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A folder of this application below the one the cluster names in `spark.checkpoint.dir`.
+
+    Only a single-machine session may go without that setting; its own disk then serves.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share, or pass a path")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="eventloom-")
     return f"{shared.rstrip('/')}/{name}-{spark.sparkContext.applicationId}"
 
 
@@ -104,7 +108,7 @@ def materialize(
     raw: DataFrame, warehouse: str | None = None, date_from: str | None = None, date_to: str | None = None
 ) -> Catalog:
     """Write every dataset of `TABLES` (full replacement) and return the catalog over them."""
-    tables = Catalog(raw, date_from, date_to, warehouse or warehouse_path(raw.sparkSession))
+    tables = Catalog(raw, date_from, date_to, warehouse or shared_folder(raw.sparkSession, "tables"))
     for name in TABLES:
         tables[name]
     return tables
