@@ -46,24 +46,31 @@ def cohort_activity(sessions: DataFrame, users: DataFrame) -> DataFrame:
 
 
 def cohort_retention(sessions: DataFrame, users: DataFrame) -> DataFrame:
-    """Every cohort at every observable age in weeks, quiet weeks as zero rows."""
-    activity = cohort_activity(sessions, users)
+    """Every cohort at every observable age in weeks, quiet weeks as zero rows.
+
+    A cohort's weekly counts are gathered into one map, no longer than the calendar, and
+    looked up for each age. A join of the dense ages with the counts would compute the
+    counts twice.
+    """
     last_week = (
         sessions.where(F.col("user_pseudo_id").isNotNull()).agg(F.max(week_start("session_date"))).scalar()
     )
-    max_age = _weeks_between("cohort_week", last_week)
-    # All of a cohort is active in its first week, so that row carries the cohort's size.
-    scaffold = (
-        activity.where(F.col("activity_week") == F.col("cohort_week"))
-        .select(*COHORT, F.col("active_users").alias("cohort_size"), max_age.alias("max_observable_age_weeks"))
-        .select(
-            "*",
-            F.explode(F.sequence(F.lit(0), F.greatest("max_observable_age_weeks", F.lit(0)))).alias("cohort_age_weeks"),
+    per_cohort = (
+        cohort_activity(sessions, users)
+        .groupBy(*COHORT)
+        .agg(F.map_from_entries(F.collect_list(F.struct("activity_week", "active_users"))).alias("active_in"))
+    )
+    # All of a cohort is active in its first week, so that count is the cohort's size.
+    max_age = F.greatest(_weeks_between("cohort_week", last_week), F.lit(0))
+    by_age = (
+        per_cohort.select(
+            "*", F.col("active_in")[F.col("cohort_week")].alias("cohort_size"), max_age.alias("max_observable_age_weeks")
         )
+        .select("*", F.explode(F.sequence(F.lit(0), "max_observable_age_weeks")).alias("cohort_age_weeks"))
         .select("*", F.date_add("cohort_week", F.col("cohort_age_weeks") * 7).alias("activity_week"))
+        .select("*", or_zero(F.col("active_in")[F.col("activity_week")]).alias("active_users"))
     )
-    active = or_zero("active_users")
-    return scaffold.join(activity, [*COHORT, "activity_week"], "left").select(
+    return by_age.select(
         hash_key(*COHORT, "cohort_age_weeks").alias("customer_cohort_id"),
         "cohort_week",
         F.date_format("cohort_week", "yyyy-MM-dd").alias("cohort_week_label"),
@@ -72,7 +79,7 @@ def cohort_retention(sessions: DataFrame, users: DataFrame) -> DataFrame:
         F.concat(F.lit("Week "), F.col("cohort_age_weeks").cast("string")).alias("cohort_age_label"),
         *COHORT[1:],
         "cohort_size",
-        active.alias("active_users"),
-        ratio(active, "cohort_size").alias("retention_rate"),
+        "active_users",
+        ratio("active_users", "cohort_size").alias("retention_rate"),
         "max_observable_age_weeks",
     )

@@ -29,6 +29,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **extra: s
         .appName("eventloom")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
