@@ -26,18 +26,28 @@ CONFIDENCE = 0.95
 # --- choosing and sizing ---------------------------------------------------------------
 
 
+def _segment_totals(funnel: DataFrame, dimension: str) -> DataFrame:
+    return (
+        funnel.groupBy(known(dimension).alias("segment"))
+        .agg(F.count_if("began_checkout").alias("checkout_sessions"), F.count_if("purchased").alias("purchase_sessions"))
+        .select("*", ratio("purchase_sessions", "checkout_sessions").alias("checkout_to_purchase_rate"))
+    )
+
+
+def _calendar_days(funnel: DataFrame) -> Column:
+    """Days from the first to the last session date, as a scalar."""
+    return funnel.agg(F.date_diff(F.max("session_date"), F.min("session_date")) + 1).scalar()
+
+
 def segment_conversion(funnel: DataFrame, dimension: str = "device_category") -> DataFrame:
     """Checkout-to-purchase conversion per segment, against the overall rate.
 
     `is_target` marks the segment with the most checkout sessions, the lower rate deciding
     between equals. `is_lowest_rate` marks the lowest rate, so a target can be seen to be both.
     """
-    segments = (
-        funnel.groupBy(known(dimension).alias("segment"))
-        .agg(F.count_if("began_checkout").alias("checkout_sessions"), F.count_if("purchased").alias("purchase_sessions"))
-        .select("*", ratio("purchase_sessions", "checkout_sessions").alias("checkout_to_purchase_rate"))
-    )
+    segments = _segment_totals(funnel, dimension)
     rate = F.col("checkout_to_purchase_rate")
+    # One row over the segments, so no window ranks all of them in one task.
     whole = segments.agg(
         F.struct(
             ratio(F.sum("purchase_sessions"), F.sum("checkout_sessions")).alias("rate"),
@@ -55,63 +65,62 @@ def segment_conversion(funnel: DataFrame, dimension: str = "device_category") ->
 
 def eligible_traffic(funnel: DataFrame, dimension: str = "device_category") -> DataFrame:
     """Checkout sessions per segment and calendar day of the data's date range."""
-    calendar_days = funnel.agg(F.date_diff(F.max("session_date"), F.min("session_date")) + 1).scalar()
-    return (
-        funnel.groupBy(known(dimension).alias("segment"))
-        .agg(F.count_if("began_checkout").alias("eligible_sessions"))
-        .select(
-            "*",
-            calendar_days.alias("calendar_days"),
-            ratio("eligible_sessions", calendar_days).alias("eligible_sessions_per_day"),
-        )
+    days = _calendar_days(funnel)
+    return _segment_totals(funnel, dimension).select(
+        "segment",
+        F.col("checkout_sessions").alias("eligible_sessions"),
+        days.alias("calendar_days"),
+        ratio("checkout_sessions", days).alias("eligible_sessions_per_day"),
     )
 
 
 def experiment_baselines(funnel: DataFrame, dimension: str = "device_category") -> DataFrame:
     """Input of `sample_size`: per segment its baseline rate and daily traffic."""
-    return (
-        segment_conversion(funnel, dimension)
-        .join(eligible_traffic(funnel, dimension), "segment")
-        .select(
-            "segment",
-            F.col("checkout_to_purchase_rate").alias("baseline_rate"),
-            F.col("eligible_sessions_per_day").alias("sessions_per_day"),
-        )
+    return _segment_totals(funnel, dimension).select(
+        "segment",
+        F.col("checkout_to_purchase_rate").alias("baseline_rate"),
+        ratio("checkout_sessions", _calendar_days(funnel)).alias("sessions_per_day"),
     )
 
 
-def sample_size(
-    baselines: DataFrame, lifts: Sequence[float] = LIFTS, alpha: float = ALPHA, power: float = POWER
-) -> DataFrame:
-    """Sessions and days needed per segment and relative lift, one-sided, equal allocation.
-
-    Cohen's h between the two rates, and the closed form of the normal power equation. A
-    lift that would push the rate over 1 has NULL sizes.
-    """
-    z = quantile(1 - alpha) + quantile(power)
-    base, lifted = F.col("baseline_rate"), F.col("treatment_rate")
-    possible = (base > 0) & (lifted <= 1)
+def _effect_size(base: Column, lifted: Column) -> Column:
+    """Cohen's h; NULL where the base converts nothing or the lift would push the rate over 1."""
 
     def angle(rate: Column) -> Column:
         return 2 * F.asin(F.sqrt(rate))
 
-    h = F.when(possible, angle(lifted) - angle(base))
-    per_variant = F.ceil(2 * F.pow(F.lit(z) / h, F.lit(2.0)))
+    return F.when((base > 0) & (lifted <= 1), angle(lifted) - angle(base))
+
+
+def _sessions_per_variant(effect_size: Column, alpha: float, power: float) -> Column:
+    """Closed form of the normal power equation, one-sided, equal allocation."""
+    z = quantile(1 - alpha) + quantile(power)
+    return F.ceil(2 * F.pow(F.lit(z) / effect_size, F.lit(2.0)))
+
+
+def sample_size(
+    baselines: DataFrame, lifts: Sequence[float] = LIFTS, alpha: float = ALPHA, power: float = POWER
+) -> DataFrame:
+    """Sessions and days needed per segment and relative lift."""
+    base, lifted = F.col("baseline_rate"), F.col("treatment_rate")
+    n = F.col("sample_size_per_variant")
     return (
         baselines.select(
             "segment", "baseline_rate", "sessions_per_day", F.explode(F.array(*map(F.lit, lifts))).alias("relative_lift")
         )
         .select("*", (base * (1 + F.col("relative_lift"))).alias("treatment_rate"))
+        .select("*", _effect_size(base, lifted).alias("effect_size"))
+        .select("*", _sessions_per_variant(F.col("effect_size"), alpha, power).alias("sample_size_per_variant"))
         .select(
             "segment",
             "relative_lift",
             "baseline_rate",
             "treatment_rate",
             (lifted - base).alias("absolute_lift"),
-            h.alias("effect_size"),
-            per_variant.alias("sample_size_per_variant"),
-            (per_variant * 2).alias("total_sample_size"),
-            F.ceil(ratio(per_variant * 2, "sessions_per_day")).alias("estimated_days"),
+            "effect_size",
+            "sample_size_per_variant",
+            (n * 2).alias("total_sample_size"),
+            F.ceil(ratio(n * 2, "sessions_per_day")).alias("estimated_days"),
         )
     )
 
@@ -344,19 +353,8 @@ def rollout_decision(
         )
     ).scalar()
     mismatch = srm_check(assigned, alpha=alpha).select("has_sample_ratio_mismatch").scalar()
-    days = assigned.agg(F.date_diff(F.max("session_date"), F.min("session_date")) + 1).scalar()
-    needed = sample_size(
-        test.select(
-            F.lit("all").alias("segment"),
-            F.col("control_rate").alias("baseline_rate"),
-            F.lit(1.0).alias("sessions_per_day"),
-            "control_sessions",
-        ),
-        [relative_lift],
-        alpha,
-        power,
-    )
-    required = needed.select("sample_size_per_variant").scalar()
+    base = F.col("control_rate")
+    required = _sessions_per_variant(_effect_size(base, base * (1 + relative_lift)), alpha, power)
     enough = (
         (F.least("control_sessions", "treatment_sessions") >= F.col("required_sessions_per_variant"))
         & (F.col("observed_days") >= minimum_days)
@@ -373,7 +371,7 @@ def rollout_decision(
             F.coalesce(guard["acceptable"], F.lit(False)).alias("guardrails_acceptable"),
             (~mismatch).alias("no_sample_ratio_mismatch"),
             F.coalesce(guard["stable"], F.lit(False)).alias("tracking_stable"),
-            days.alias("observed_days"),
+            _calendar_days(assigned).alias("observed_days"),
             required.alias("required_sessions_per_variant"),
         )
         .select("*", F.coalesce(enough, F.lit(False)).alias("enough_runtime"))

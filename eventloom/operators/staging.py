@@ -45,23 +45,27 @@ def _event_timestamp():
     return F.timestamp_micros("event_timestamp").alias("event_timestamp")
 
 
+def _with_session_number(raw: DataFrame) -> DataFrame:
+    """A step of its own, so that the column and the session id share one parameter lookup."""
+    return raw.select("*", event_param("ga_session_id", "int_value").alias("ga_session_id"))
+
+
 def flatten_events(raw: DataFrame, date_from: str | None = None, date_to: str | None = None) -> DataFrame:
     """One row per event with its struct leaves, six parameters and session id.
 
     A map-only plan: no column is computed that a later operator does not select, and
     the date range and any `event_name` filter reach the Parquet scan.
     """
-    session_number = event_param("ga_session_id", "int_value")
-    return between_days(raw, date_from, date_to).select(
+    return _with_session_number(between_days(raw, date_from, date_to)).select(
         _event_date(),
         _event_timestamp(),
         "event_name",
         "user_pseudo_id",
         "user_id",
         "platform",
-        session_number.alias("ga_session_id"),
+        "ga_session_id",
         event_param("ga_session_number", "int_value").alias("ga_session_number"),
-        session_key("user_pseudo_id", session_number).alias("session_id"),
+        session_key("user_pseudo_id", "ga_session_id").alias("session_id"),
         *[clean_text(source).alias(name) for name, source in EVENT_TEXTS.items()],
         event_param("engagement_time_msec", "int_value").alias("engagement_time_msec"),
         *[event_param(p, "string_value").alias(p) for p in ("page_location", "page_title", "page_referrer")],
@@ -73,7 +77,6 @@ def flatten_events(raw: DataFrame, date_from: str | None = None, date_to: str |
 
 def flatten_items(raw: DataFrame, date_from: str | None = None, date_to: str | None = None) -> DataFrame:
     """One row per element of `items`, numbered from 1; events without items drop out."""
-    session_number = event_param("ga_session_id", "int_value")
     # Hashed per event, before the array is expanded, and from the untrimmed transaction id.
     event_key = hash_key(
         F.coalesce("user_pseudo_id", F.lit("<null-user>")),
@@ -84,15 +87,15 @@ def flatten_items(raw: DataFrame, date_from: str | None = None, date_to: str | N
         F.coalesce("event_server_timestamp_offset", F.lit(-1)),
         F.coalesce("ecommerce.transaction_id", F.lit("<no-transaction>")),
     )
-    per_event = between_days(raw, date_from, date_to).select(
+    per_event = _with_session_number(between_days(raw, date_from, date_to)).select(
         _event_date(),
         _event_timestamp(),
         "event_name",
         "user_pseudo_id",
         "user_id",
         "platform",
-        session_number.alias("ga_session_id"),
-        session_key("user_pseudo_id", session_number).alias("session_id"),
+        "ga_session_id",
+        session_key("user_pseudo_id", "ga_session_id").alias("session_id"),
         event_key.alias("event_key"),
         clean_text("ecommerce.transaction_id").alias("transaction_id"),
         F.col("ecommerce.purchase_revenue_in_usd").alias("purchase_revenue_in_usd"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,19 +28,32 @@ def between_days(raw: DataFrame, date_from: str | None, date_to: str | None) ->
     return raw
 
 
-def replace_table(df: DataFrame, path: str, day: str | None = None, cluster: str | None = None) -> DataFrame:
-    """Write a full replacement and read it back, which also ends the lineage.
+@dataclass(frozen=True)
+class Layout:
+    """How a table's files are laid out.
 
-    With `day`, rows are rebalanced by that column first: days of ordinary size land in one
-    file, a day holding much of the data is split over several tasks. With `cluster`, rows
-    are sorted by that column inside each file, so that the Parquet statistics let a filter
-    on it skip most row groups.
+    day: partition column. cluster: sort column inside each file, so that the Parquet
+    statistics let a filter on it skip most row groups. rebalance: shuffle by day before
+    writing, for rows that do not arrive by day; days of ordinary size then land in one file
+    and a day holding much of the data is split over several tasks.
     """
-    if day is None:
-        df.write.mode("overwrite").parquet(path)
-    else:
-        order = [day] if cluster is None else [day, cluster]
-        laid_out = df.hint("rebalance", day).sortWithinPartitions(*order)
-        laid_out.write.mode("overwrite").partitionBy(day).parquet(path)
+
+    day: str | None = None
+    cluster: str | None = None
+    rebalance: bool = False
+
+
+def replace_table(df: DataFrame, path: str, layout: Layout = Layout()) -> DataFrame:
+    """Write a full replacement and read it back, which also ends the lineage."""
+    laid_out = df
+    if layout.rebalance:
+        laid_out = laid_out.hint("rebalance", layout.day)
+    if layout.cluster is not None:
+        # The partitioned writer sorts by day anyway; this only adds the second column.
+        laid_out = laid_out.sortWithinPartitions(*filter(None, (layout.day, layout.cluster)))
+    writer = laid_out.write.mode("overwrite")
+    if layout.day is not None:
+        writer = writer.partitionBy(layout.day)
+    writer.parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     return back.select(*df.columns)
