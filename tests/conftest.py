@@ -3,7 +3,6 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from eventloom.operators.staging import flatten_events, flatten_items
 from eventloom.session import local_session
@@ -13,8 +12,9 @@ DAY = dt.datetime(2024, 3, 4, tzinfo=dt.timezone.utc)  # a Monday
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(4, shuffle_partitions=4)
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session(4, shuffle_partitions=4, **{"spark.checkpoint.dir": shared})
     yield session
     session.stop()
 
