@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.columns import UNKNOWN, hash_key, or_zero, ratio, week_start
 
-COHORT = ["cohort_week", "first_device_category", "first_user_source", "first_user_medium"]
+# User columns that split the cohorts of a week.
+DIMENSIONS = ("first_device_category", "first_user_source", "first_user_medium")
 
 
 def weekly_activity(sessions: DataFrame) -> DataFrame:
@@ -19,12 +22,12 @@ def weekly_activity(sessions: DataFrame) -> DataFrame:
     )
 
 
-def _weeks_between(start: str, end) -> F.Column:
+def _weeks_between(start: str, end) -> Column:
     """Both ends are Mondays, so whole sevens of days are weeks."""
     return F.floor(F.date_diff(end, F.col(start)) / 7).cast("int")
 
 
-def cohort_activity(sessions: DataFrame, users: DataFrame) -> DataFrame:
+def cohort_activity(sessions: DataFrame, users: DataFrame, dimensions: Sequence[str] = DIMENSIONS) -> DataFrame:
     """Active users per cohort and week in which any of the cohort was active.
 
     A user's set of active weeks is no longer than the calendar, so it fits one row: one
@@ -36,16 +39,16 @@ def cohort_activity(sessions: DataFrame, users: DataFrame) -> DataFrame:
         .groupBy("user_pseudo_id")
         .agg(F.collect_set(week_start("session_date")).alias("weeks"))
     )
-    dimensions = [F.coalesce(F.col(c), F.lit(UNKNOWN)).alias(c) for c in COHORT[1:]]
+    of_user = [F.coalesce(F.col(c), F.lit(UNKNOWN)).alias(c) for c in dimensions]
     return (
-        per_user.join(users.select("user_pseudo_id", *dimensions), "user_pseudo_id")
-        .select(F.array_min("weeks").alias("cohort_week"), *COHORT[1:], F.explode("weeks").alias("activity_week"))
-        .groupBy(*COHORT, "activity_week")
+        per_user.join(users.select("user_pseudo_id", *of_user), "user_pseudo_id")
+        .select(F.array_min("weeks").alias("cohort_week"), *dimensions, F.explode("weeks").alias("activity_week"))
+        .groupBy("cohort_week", *dimensions, "activity_week")
         .agg(F.count("*").alias("active_users"))
     )
 
 
-def cohort_retention(sessions: DataFrame, users: DataFrame) -> DataFrame:
+def cohort_retention(sessions: DataFrame, users: DataFrame, dimensions: Sequence[str] = DIMENSIONS) -> DataFrame:
     """Every cohort at every observable age in weeks, quiet weeks as zero rows.
 
     A cohort's weekly counts are gathered into one map, no longer than the calendar, and
@@ -56,8 +59,8 @@ def cohort_retention(sessions: DataFrame, users: DataFrame) -> DataFrame:
         sessions.where(F.col("user_pseudo_id").isNotNull()).agg(F.max(week_start("session_date"))).scalar()
     )
     per_cohort = (
-        cohort_activity(sessions, users)
-        .groupBy(*COHORT)
+        cohort_activity(sessions, users, dimensions)
+        .groupBy("cohort_week", *dimensions)
         .agg(F.map_from_entries(F.collect_list(F.struct("activity_week", "active_users"))).alias("active_in"))
     )
     # All of a cohort is active in its first week, so that count is the cohort's size.
@@ -71,13 +74,13 @@ def cohort_retention(sessions: DataFrame, users: DataFrame) -> DataFrame:
         .select("*", or_zero(F.col("active_in")[F.col("activity_week")]).alias("active_users"))
     )
     return by_age.select(
-        hash_key(*COHORT, "cohort_age_weeks").alias("customer_cohort_id"),
+        hash_key("cohort_week", *dimensions, "cohort_age_weeks").alias("customer_cohort_id"),
         "cohort_week",
         F.date_format("cohort_week", "yyyy-MM-dd").alias("cohort_week_label"),
         "activity_week",
         "cohort_age_weeks",
         F.concat(F.lit("Week "), F.col("cohort_age_weeks").cast("string")).alias("cohort_age_label"),
-        *COHORT[1:],
+        *dimensions,
         "cohort_size",
         "active_users",
         ratio("active_users", "cohort_size").alias("retention_rate"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +41,6 @@ FUNNEL_TYPES = {
 
 NEW_SESSION, OTHER_SESSION = "New user session", "Returning or other session"
 SEGMENT_DIMENSIONS = ["device_category", "country", "first_user_source", "first_user_medium"]
-SEGMENT_KEYS = ["metric_date", "device_category", "user_type", "country", "first_user_source", "first_user_medium"]
 
 
 def _flag_counts() -> list[Column]:
@@ -138,50 +139,57 @@ def _user_type() -> Column:
     return F.when(F.col("is_new_user_session"), NEW_SESSION).otherwise(OTHER_SESSION)
 
 
-def _orders_by_segment(funnel: DataFrame, orders: DataFrame) -> DataFrame:
+def _segment_keys(dimensions: Sequence[str]) -> list[str]:
+    return ["metric_date", *dimensions[:1], "user_type", *dimensions[1:]]
+
+
+def _orders_by_segment(funnel: DataFrame, orders: DataFrame, dimensions: Sequence[str]) -> DataFrame:
     """Orders per segment; dimensions from the order's session first, then from the order.
 
     Orders are summed per (date, session, own dimensions) before they meet the sessions:
     orders without a session, or a session with very many orders, shrink to a few rows
     there and cannot pile up on one join key.
     """
-    own = [clean_text(c).alias(f"order_{c}") for c in SEGMENT_DIMENSIONS]
+    own = [clean_text(c).alias(f"order_{c}") for c in dimensions]
     per_session = orders.groupBy(F.col("order_date").alias("metric_date"), "session_id", *own).agg(
         F.count("*").alias("n"), F.sum("order_revenue_usd").alias("revenue")
     )
-    session_side = funnel.select("session_id", "is_new_user_session", *SEGMENT_DIMENSIONS)
+    session_side = funnel.select("session_id", "is_new_user_session", *dimensions)
     return (
         per_session.join(session_side, "session_id", "left")
         .select(
             "metric_date",
-            *[known(c, f"order_{c}").alias(c) for c in SEGMENT_DIMENSIONS],
+            *[known(c, f"order_{c}").alias(c) for c in dimensions],
             F.when(F.col("is_new_user_session").isNull(), UNKNOWN).otherwise(_user_type()).alias("user_type"),
             "n",
             "revenue",
         )
-        .groupBy(*SEGMENT_KEYS)
+        .groupBy(*_segment_keys(dimensions))
         .agg(F.sum("n").alias("order_count"), F.sum("revenue").alias("revenue_usd"))
     )
 
 
-def funnel_segment(funnel: DataFrame, orders: DataFrame) -> DataFrame:
-    """Session, funnel and order metrics per date, device, user type, country, source, medium."""
+def funnel_segment(
+    funnel: DataFrame, orders: DataFrame, dimensions: Sequence[str] = SEGMENT_DIMENSIONS
+) -> DataFrame:
+    """Session, funnel and order metrics per date, user type and the given dimensions."""
+    keys = _segment_keys(dimensions)
     session_side = (
         funnel.select(
             F.col("session_date").alias("metric_date"),
-            *[known(c).alias(c) for c in SEGMENT_DIMENSIONS],
+            *[known(c).alias(c) for c in dimensions],
             _user_type().alias("user_type"),
             *FLAG_COUNTS.values(),
             "session_duration_seconds",
             "engagement_time_msec",
         )
-        .groupBy(*SEGMENT_KEYS)
+        .groupBy(*_segment_keys(dimensions))
         .agg(F.count("*").alias("total_sessions"), *_flag_counts(), *_averages())
     )
     counts = ["total_sessions", *FLAG_COUNTS]
-    merged = session_side.join(_orders_by_segment(funnel, orders), SEGMENT_KEYS, "full").select(
-        hash_key(*SEGMENT_KEYS).alias("funnel_segment_id"),
-        *SEGMENT_KEYS,
+    merged = session_side.join(_orders_by_segment(funnel, orders, dimensions), keys, "full").select(
+        hash_key(*keys).alias("funnel_segment_id"),
+        *keys,
         *[or_zero(c).alias(c) for c in counts],
         "average_session_duration_seconds",
         "average_engagement_seconds",

@@ -31,17 +31,19 @@ def _earliest(stage: int, not_before: Column | None, window: W) -> Column:
     return F.min(F.when(occurs, F.col("at"))).over(window)
 
 
-def _moments(events: DataFrame, stages: Sequence[str], key: str, time: str, chunk_seconds: int) -> DataFrame:
+def _moments(
+    events: DataFrame, stages: Sequence[str], key: str, time: str, chunk_seconds: int, name: str = "event_name"
+) -> DataFrame:
     """One row per (key, moment) with the set of stages seen then, as bits.
 
     The grouping combines on the map side, so copies of an event vanish before the shuffle.
     """
     bit = F.lit(0)
-    for number, name in enumerate(stages):
-        bit = F.when(F.col("event_name") == name, 1 << number).otherwise(bit)
+    for number, stage in enumerate(stages):
+        bit = F.when(F.col(name) == stage, 1 << number).otherwise(bit)
     chunk = F.floor(F.unix_micros(time) / F.lit(chunk_seconds * 1_000_000))
     return (
-        events.where(F.col(key).isNotNull() & F.col("event_name").isin(*stages))
+        events.where(F.col(key).isNotNull() & F.col(name).isin(*stages))
         .groupBy(F.col(key).alias("key"), chunk.alias("chunk"), F.col(time).alias("at"))
         .agg(F.bit_or(bit).alias("stages"))
     )
@@ -80,6 +82,7 @@ def sequential_funnel(
     stages: Sequence[str] = STAGES,
     key: str = "session_id",
     time: str = "event_timestamp",
+    name: str = "event_name",
     chunk_seconds: int = 600,
 ) -> DataFrame:
     """Per session: the earliest first stage, then each next stage's earliest event not before it.
@@ -92,7 +95,9 @@ def sequential_funnel(
     only its possible picks; the second step then walks those few rows per session.
     """
     n = len(stages)
-    picks = _possible_picks(_moments(events, stages, key, time, chunk_seconds), n)
+    if n == 0 or len(set(stages)) < n:
+        raise ValueError("stages must be given and differ from each other")
+    picks = _possible_picks(_moments(events, stages, key, time, chunk_seconds, name), n)
     window = W.partitionBy("key")
     for stage in range(n - 1):
         earlier = F.col(f"stage{stage - 1}") if stage else None
@@ -101,11 +106,11 @@ def sequential_funnel(
     if n > 1:
         last = last & (F.col("at") >= F.col(f"stage{n - 2}"))
     reached = [F.max(f"stage{stage}") for stage in range(n - 1)] + [F.min(F.when(last, F.col("at")))]
-    names = [f"sequential_{name}_at" for name in stages]
+    columns = [f"sequential_{stage}_at" for stage in stages]
     return (
         picks.groupBy("key")
-        .agg(*[r.alias(name) for r, name in zip(reached, names)])
-        .where(F.col(names[0]).isNotNull())
+        .agg(*[r.alias(c) for r, c in zip(reached, columns)])
+        .where(F.col(columns[0]).isNotNull())
         .withColumnRenamed("key", key)
     )
 

@@ -15,10 +15,17 @@ SETTINGS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else created."""
+def configure(spark: SparkSession, initial_partitions: int | None = None) -> SparkSession:
+    """Apply the runtime settings to a session somebody else created.
+
+    `initial_partitions` is what every shuffle starts with before small ones are merged at
+    run time. Choose it for the largest shuffle, about one per 100 MB of shuffled data; the
+    small shuffles of the same job shrink by themselves.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    if initial_partitions is not None:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(initial_partitions))
     return spark
 
 

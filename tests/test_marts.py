@@ -196,3 +196,17 @@ def test_cohort_with_a_quiet_week(events_of):
     later = {(r.cohort_age_weeks, r.max_observable_age_weeks, r.cohort_size) for r in rows if r.first_device_category == "mobile"}
     assert later == {(0, 1, 1), (1, 1, 1)}
     assert weekly_activity(s).count() == 4
+
+
+def test_fewer_dimensions(events_of):
+    events = events_of(
+        event("x", 0, device="mobile"),
+        event("x", 0, user="b", device="tablet"),
+        event("purchase", 1, user="b", device="tablet", transaction="T", revenue=2.0),
+    )
+    funnel, placed = funnel_and_orders(events)
+    row = only(funnel_segment(funnel, placed, ["country"]))
+    assert (row.country, row.total_sessions, row.order_count, row.revenue_usd) == ("Unknown", 2, 1, 2.0)
+    s = sessions(events)
+    row = only(cohort_retention(s, users(s, placed), ["first_country"]))
+    assert (row.first_country, row.cohort_size, row.retention_rate) == ("Unknown", 2, 1.0)

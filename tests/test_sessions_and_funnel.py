@@ -161,3 +161,17 @@ def test_hot_session_shrinks_before_the_session_step(spark):
     assert _possible_picks(moments, 4).where("key = 'hot'").count() <= 6 * 10
     row = only(sequential_funnel(events).where("session_id = 'hot'"))
     assert [row[f"sequential_{s}_at"].second for s in STAGES] == [0, 1, 2, 3]
+
+
+def test_stages_must_differ(events_of):
+    for stages in ([], ["view_item", "view_item"]):
+        with pytest.raises(ValueError):
+            sequential_funnel(events_of(event("view_item")), stages)
+
+
+def test_funnel_over_other_columns(spark):
+    df = spark.createDataFrame([("x", "go", 1), ("x", "stop", 2)], "who string, what string, second long").select(
+        "who", "what", F.timestamp_seconds("second").alias("at")
+    )
+    row = only(sequential_funnel(df, ["go", "stop"], key="who", time="at", name="what"))
+    assert (row.who, row.sequential_go_at.second, row.sequential_stop_at.second) == ("x", 1, 2)
