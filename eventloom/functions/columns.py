@@ -30,9 +30,17 @@ def known(text: Column | str, *fallbacks: Column | str) -> Column:
 
 
 def event_param(key: str, slot: str, params: str = "event_params") -> Column:
-    """The value of one repeated key/value parameter; NULL when the key is absent."""
-    hits = F.filter(col(params), lambda p: (p["key"] == key) & p["value"][slot].isNotNull())
-    return F.get(hits, F.lit(0))["value"][slot]
+    """The first non-null value of one repeated key/value parameter; NULL when there is none.
+
+    Only the keys and one value slot are touched, so the scan reads no other slot. The value
+    is taken by position; arrays are searched row by row only where the key is present with
+    a NULL value, in case it repeats.
+    """
+    keys, values = F.col(f"{params}.key"), F.col(f"{params}.value.{slot}")
+    position = F.array_position(keys, F.lit(key))
+    matching = F.zip_with(keys, values, lambda k, v: F.when(k == key, v))
+    repeated = F.get(F.filter(matching, lambda v: v.isNotNull()), F.lit(0))
+    return F.when(position > 0, F.coalesce(F.get(values, (position - 1).cast("int")), repeated))
 
 
 def session_key(user: Column | str, session: Column | str) -> Column:

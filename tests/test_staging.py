@@ -20,7 +20,9 @@ def test_parameters_are_looked_up_by_key(events_of):
         {"key": "engagement_time_msec", "value": {"string_value": None, "int_value": None}},
         {"key": "engagement_time_msec", "value": {"string_value": None, "int_value": 40}},
     ]
-    row = only(events_of(event("page_view", params=params)))
+    rows = events_of(event("page_view", params=params), {**event("page_view"), "event_params": None}).collect()
+    row = rows[0]
+    assert rows[1].ga_session_id is None
     assert (row.page_title, row.engagement_time_msec, row.page_location) == ("Home", 40, None)
     assert (row.ga_session_id, row.session_id) == (1, "a-1")
 
@@ -94,6 +96,13 @@ def test_demo_export_has_the_raw_schema_and_all_rows(spark):
     assert raw.count() == events.count()
 
 
+def test_session_id_reads_no_text_parameters(spark, raw_of, tmp_path):
+    path = str(tmp_path / "raw")
+    replace_table(raw_of(event("a")), path, Layout("event_date"))
+    plan = flatten_events(read_raw_events(spark, path)).select("session_id")._jdf.queryExecution().executedPlan().toString()
+    assert "event_params:array<struct<key:string,value:struct<int_value:bigint>>>" in plan
+
+
 def test_date_range_prunes_partitions(spark, raw_of, tmp_path):
     path = str(tmp_path / "raw")
     replace_table(raw_of(event("a", date="20240301"), event("b", date="20240302")), path, Layout("event_date"))
