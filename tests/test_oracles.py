@@ -1,5 +1,7 @@
 """Every registered query against its DuckDB twin, on the smallest test data."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -13,14 +15,18 @@ def duck():
     return connect(SF_DIR)
 
 
+# The corpus operators have tests of their own.
+OWN = [name for name in entry.queries() if not re.match(r"op\d+_|pipeline$", name)]
+
+
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(OWN) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_flagship_runs(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query_equals_twin(spark, duck, name):
     assert difference(entry.queries()[name](spark, SF_DIR), duck, entry.oracle_sql()[name]) is None
