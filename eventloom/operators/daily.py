@@ -170,9 +170,16 @@ def _orders_by_segment(funnel: DataFrame, orders: DataFrame, dimensions: Sequenc
 
 
 def funnel_segment(
-    funnel: DataFrame, orders: DataFrame, dimensions: Sequence[str] = SEGMENT_DIMENSIONS
+    funnel: DataFrame,
+    orders: DataFrame,
+    dimensions: Sequence[str] = SEGMENT_DIMENSIONS,
+    orders_mark_sessions: bool = False,
 ) -> DataFrame:
-    """Session, funnel and order metrics per date, user type and the given dimensions."""
+    """Session, funnel and order metrics per date, user type and the given dimensions.
+
+    `orders_mark_sessions` says that each order's session has `purchased` set, as where both come
+    from the same events; then only those sessions meet the orders.
+    """
     keys = _segment_keys(dimensions)
     session_side = (
         funnel.select(
@@ -187,7 +194,7 @@ def funnel_segment(
         .agg(F.count("*").alias("total_sessions"), *_flag_counts(), *_averages())
     )
     counts = ["total_sessions", *FLAG_COUNTS]
-    merged = session_side.join(_orders_by_segment(funnel, orders, dimensions), keys, "full").select(
+    merged = session_side.join(_orders_by_segment(funnel.where("purchased") if orders_mark_sessions else funnel, orders, dimensions), keys, "full").select(
         hash_key(*keys).alias("funnel_segment_id"),
         *keys,
         *[or_zero(c).alias(c) for c in counts],

@@ -29,8 +29,16 @@ CONFIDENCE = 0.95
 def _segment_totals(funnel: DataFrame, dimension: str) -> DataFrame:
     return (
         funnel.groupBy(known(dimension).alias("segment"))
-        .agg(F.count_if("began_checkout").alias("checkout_sessions"), F.count_if("purchased").alias("purchase_sessions"))
-        .select("*", ratio("purchase_sessions", "checkout_sessions").alias("checkout_to_purchase_rate"))
+        .agg(
+            F.count_if("began_checkout").alias("checkout_sessions"),
+            F.count_if("purchased").alias("purchase_sessions"),
+            F.count_if(F.col("began_checkout") & F.col("purchased")).alias("converted_sessions"),
+        )
+        .select(
+            "*",
+            ratio("converted_sessions", "checkout_sessions").alias("checkout_to_purchase_rate"),
+            ratio("purchase_sessions", "checkout_sessions").alias("purchases_per_checkout"),
+        )
     )
 
 
@@ -42,6 +50,9 @@ def _calendar_days(funnel: DataFrame) -> Column:
 def segment_conversion(funnel: DataFrame, dimension: str = "device_category") -> DataFrame:
     """Checkout-to-purchase conversion per segment, against the overall rate.
 
+    The rate is the share of checkout sessions that purchased, as in every test and sample size
+    here. `purchases_per_checkout` counts all purchase sessions, also those without a checkout.
+
     `is_target` marks the segment with the most checkout sessions, the lower rate deciding
     between equals. `is_lowest_rate` marks the lowest rate, so a target can be seen to be both.
     """
@@ -50,7 +61,7 @@ def segment_conversion(funnel: DataFrame, dimension: str = "device_category") ->
     # One row over the segments, so no window ranks all of them in one task.
     whole = segments.agg(
         F.struct(
-            ratio(F.sum("purchase_sessions"), F.sum("checkout_sessions")).alias("rate"),
+            ratio(F.sum("converted_sessions"), F.sum("checkout_sessions")).alias("rate"),
             F.max(F.struct("checkout_sessions", -rate, "segment"))["segment"].alias("busiest"),
             F.min(rate).alias("lowest"),
         )
@@ -63,6 +74,11 @@ def segment_conversion(funnel: DataFrame, dimension: str = "device_category") ->
     )
 
 
+def target_segment(funnel: DataFrame, dimension: str = "device_category") -> Column:
+    """The target of `segment_conversion`, as a scalar."""
+    return segment_conversion(funnel, dimension).where("is_target").select("segment").scalar()
+
+
 def eligible_traffic(funnel: DataFrame, dimension: str = "device_category") -> DataFrame:
     """Checkout sessions per segment and calendar day of the data's date range."""
     days = _calendar_days(funnel)
@@ -134,10 +150,11 @@ def assign_variants(
     """Add `variant`, a stable pseudo-random split of the unit.
 
     The first eight hex digits of an md5 are uniform and compare as text, so the split needs
-    no state, survives retries, and can be repeated in any SQL engine.
+    no state, survives retries, and can be repeated in any SQL engine. The limit has a ninth
+    digit, so that shares of 0 and 1 give one variant only.
     """
-    draw = F.substring(F.md5(F.concat(F.lit(f"{experiment}:"), F.col(unit))), 1, 8)
-    limit = f"{min(int((1 - treatment_share) * 16**8), 16**8 - 1):08x}"
+    draw = F.concat(F.lit("0"), F.substring(F.md5(F.concat(F.lit(f"{experiment}:"), F.col(unit))), 1, 8))
+    limit = f"{int((1 - treatment_share) * 16**8):09x}"
     return df.withColumn("variant", F.when(draw < limit, CONTROL).when(draw >= limit, TREATMENT))
 
 
@@ -186,20 +203,32 @@ def variant_summary(counts: DataFrame) -> DataFrame:
     )
 
 
-def two_proportion_ztest(counts: DataFrame, alpha: float = ALPHA) -> DataFrame:
-    """Pooled one-sided test that treatment converts better than control."""
+ALTERNATIVES = ("larger", "smaller", "two-sided")
+
+
+def two_proportion_ztest(counts: DataFrame, alpha: float = ALPHA, alternative: str = "larger") -> DataFrame:
+    """Pooled test that treatment converts better than control, worse, or differently.
+
+    Sessions count as independent; where users are assigned, that holds as far as few users
+    come back.
+    """
+    if alternative not in ALTERNATIVES:
+        raise ValueError(f"alternative is one of {', '.join(ALTERNATIVES)}")
     n_c, n_t = F.col("control_sessions"), F.col("treatment_sessions")
     pooled = ratio(F.col("control_conversions") + F.col("treatment_conversions"), n_c + n_t)
     error = F.sqrt(F.col("pooled_rate") * (1 - F.col("pooled_rate")) * (ratio(F.lit(1), n_c) + ratio(F.lit(1), n_t)))
     z = ratio("absolute_lift", "standard_error")
+    statistic = F.col("z_statistic")
+    extreme = {"larger": statistic, "smaller": -statistic, "two-sided": F.abs(statistic)}[alternative]
+    sides = 2 if alternative == "two-sided" else 1
     return (
         counts.select("*", pooled.alias("pooled_rate"))
         .select("*", error.alias("standard_error"))
         .select("*", z.alias("z_statistic"))
         .select(
             "*",
-            upper_tail(F.col("z_statistic")).alias("p_value"),
-            F.coalesce(F.col("z_statistic") > quantile(1 - alpha), F.lit(False)).alias("is_significant"),
+            (upper_tail(extreme) * sides).alias("p_value"),
+            F.coalesce(extreme > quantile(1 - alpha / sides), F.lit(False)).alias("is_significant"),
         )
     )
 
@@ -233,7 +262,7 @@ def modeled_impact(counts: DataFrame, order_value: Column | float) -> DataFrame:
     )
 
 
-def average_order_value(segments: DataFrame, dimension: str, segment: str) -> Column:
+def average_order_value(segments: DataFrame, dimension: str, segment: Column | str) -> Column:
     """Revenue per order of one segment, as a scalar for `modeled_impact`."""
     mine = segments.where(F.col(dimension) == segment)
     return mine.agg(ratio(F.sum("revenue_usd"), F.sum("order_count"))).scalar()
@@ -286,9 +315,16 @@ def guardrails(assigned: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def srm_check(
-    assigned: DataFrame, unit: str = "user_pseudo_id", treatment_share: float = 0.5, alpha: float = ALPHA
+    assigned: DataFrame,
+    unit: str = "user_pseudo_id",
+    treatment_share: float = 0.5,
+    alpha: float = ALPHA,
+    eligible: str = "began_checkout",
 ) -> DataFrame:
-    """Chi-square test (one degree of freedom) of assigned units against the planned split."""
+    """Chi-square test (one degree of freedom) of the units in the test against the planned split.
+
+    Units in the test are those with an eligible session.
+    """
     total = F.col("control_units") + F.col("treatment_units")
     expected_t = total * F.lit(treatment_share)
     expected_c = total - expected_t
@@ -297,7 +333,7 @@ def srm_check(
     )
     # One degree of freedom: the critical value is the square of the two-sided normal one.
     critical = quantile(1 - alpha / 2) ** 2
-    units = assigned.where(F.col(unit).isNotNull()).groupBy(unit).agg(F.min("variant").alias("variant"))
+    units = assigned.where(F.col(unit).isNotNull() & F.col(eligible)).groupBy(unit).agg(F.min("variant").alias("variant"))
     return (
         units.agg(
             F.count_if(F.col("variant") == CONTROL).alias("control_units"),

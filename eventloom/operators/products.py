@@ -236,11 +236,11 @@ OPPORTUNITY_COLUMNS = [
 
 
 def opportunity_scenario(
-    opportunity: DataFrame, min_view_sessions: int = 100, recovery: float = 0.5, top: int = 20
+    opportunity: DataFrame, min_view_sessions: int = 100, recovery: float = 0.5, top: int | None = None
 ) -> DataFrame:
-    """The `top` high-traffic products below their category, at a partial recovery of the gap."""
+    """High-traffic products below their category, at a partial recovery of the gap: all, or the `top` ones by revenue."""
     recovered = F.lit(float(recovery))
-    return (
+    found = (
         opportunity.where(
             (F.col("view_item_sessions") >= min_view_sessions) & (F.col("opportunity_status") == CANDIDATE)
         )
@@ -255,6 +255,5 @@ def opportunity_scenario(
             (F.col("modeled_additional_orders_full_gap") * recovered).alias("scenario_additional_orders"),
             (F.col("modeled_revenue_opportunity_full_gap_usd") * recovered).alias("scenario_revenue_usd"),
         )
-        .orderBy(F.col("scenario_revenue_usd").desc(), "product_key")
-        .limit(top)
     )
+    return found if top is None else found.orderBy(F.col("scenario_revenue_usd").desc(), "product_key").limit(top)

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
-from collections.abc import Iterator, Mapping
+import hashlib
+from collections.abc import Collection, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +17,7 @@ from eventloom.sources.raw import Layout, replace_table
 TABLES = {
     "stg_events": Layout("event_date", "event_name"),
     "stg_items": Layout("event_date", "event_name"),
+    "sessions": Layout(),
     "session_funnel": Layout(),
     "orders": Layout(),
     "order_items": Layout(),
@@ -29,14 +30,17 @@ TABLES = {
     "customer_summary": Layout(),
     "cohort_retention": Layout(),
 }
+# Staged rows are as many as the raw ones, so they are views unless asked for as tables.
+DEFAULT_TABLES = tuple(name for name in TABLES if not name.startswith("stg_"))
 
 
 class Catalog(Mapping[str, DataFrame]):
     """Datasets by name, each built from the others on first use.
 
     Without a warehouse path every dataset is a lazy plan over the raw events. With one,
-    each dataset of `TABLES` is written on first use and read back, so that what several
-    datasets share is computed once and a lost executor never reaches behind the last table.
+    each dataset of `tables` is written on first use and read back, so that what several
+    datasets share is computed once and a lost executor never reaches behind the last table;
+    all others stay views.
     """
 
     def __init__(
@@ -45,8 +49,12 @@ class Catalog(Mapping[str, DataFrame]):
         date_from: str | None = None,
         date_to: str | None = None,
         warehouse: str | None = None,
+        tables: Collection[str] = DEFAULT_TABLES,
     ):
+        if unknown := set(tables) - set(TABLES):
+            raise ValueError(f"not to be written as tables: {', '.join(sorted(unknown))}")
         self._warehouse = warehouse
+        self._tables = frozenset(tables)
         self._built: dict[str, DataFrame] = {}
         self._recipes = {
             "stg_events": lambda: staging.flatten_events(raw, date_from, date_to),
@@ -54,14 +62,16 @@ class Catalog(Mapping[str, DataFrame]):
             "session_orders": lambda: sessions.session_orders(self["stg_events"]),
             "sequential_funnel": lambda: funnel.sequential_funnel(self["stg_events"]),
             "sessions": lambda: sessions.sessions(self["stg_events"]),
-            # Both sides come fresh from the events: they share the hash on the session id.
-            "session_funnel": lambda: funnel.session_funnel(self.plan("sessions"), self.plan("sequential_funnel")),
+            # As plans, both sides come from the events and share the hash on the session id.
+            "session_funnel": lambda: funnel.session_funnel(self["sessions"], self.plan("sequential_funnel")),
             "orders": lambda: orders.orders(self["stg_events"]),
             "order_items": lambda: orders.order_items(self["stg_items"], self["orders"]),
             "users": lambda: users.users(self["sessions"], self["orders"]),
             "executive_daily": lambda: daily.executive_daily(self["session_funnel"], self["orders"]),
             "funnel_daily": lambda: daily.funnel_daily(self["session_funnel"]),
-            "funnel_segment": lambda: daily.funnel_segment(self["session_funnel"], self["orders"]),
+            "funnel_segment": lambda: daily.funnel_segment(
+                self["session_funnel"], self["orders"], orders_mark_sessions=True
+            ),
             "product_performance": lambda: products.product_performance(self["stg_items"], self["order_items"]),
             "product_opportunity": lambda: products.product_opportunity(self["product_performance"]),
             "customer_summary": lambda: users.customer_summary(self["users"]),
@@ -79,11 +89,8 @@ class Catalog(Mapping[str, DataFrame]):
         return self._built[name]
 
     def _build(self, name: str) -> DataFrame:
-        if self._warehouse is not None and name == "sessions":
-            # The funnel table holds every session; its first columns are the sessions.
-            return self["session_funnel"].select(*self.plan("sessions").columns)
         df = self.plan(name)
-        if self._warehouse is not None and name in TABLES:
+        if self._warehouse is not None and name in self._tables:
             return replace_table(df, f"{self._warehouse}/{name}", TABLES[name])
         return df
 
@@ -95,23 +102,32 @@ class Catalog(Mapping[str, DataFrame]):
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A folder of this application below the one the cluster names in `spark.checkpoint.dir`.
-
-    Only a single-machine session may go without that setting; its own disk then serves.
-    """
+    """A folder of this application below the one the cluster names in `spark.checkpoint.dir`."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="eventloom-")
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{shared.rstrip('/')}/{name}-{spark.sparkContext.applicationId}"
 
 
+def input_version(spark: SparkSession, path: str) -> str:
+    """A short digest of a path and of the names, sizes and times of the files there; other files, another digest."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    found = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(where)
+    files = sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in found)
+    return hashlib.sha256(repr((path, files)).encode()).hexdigest()[:16]
+
+
 def materialize(
-    raw: DataFrame, warehouse: str | None = None, date_from: str | None = None, date_to: str | None = None
+    raw: DataFrame,
+    warehouse: str | None = None,
+    date_from: str | None = None,
+    date_to: str | None = None,
+    tables: Collection[str] = DEFAULT_TABLES,
 ) -> Catalog:
-    """Write every dataset of `TABLES` (full replacement) and return the catalog over them."""
-    tables = Catalog(raw, date_from, date_to, warehouse or shared_folder(raw.sparkSession, "tables"))
+    """Write the named datasets (full replacement) and return the catalog over them."""
+    found = Catalog(raw, date_from, date_to, warehouse or shared_folder(raw.sparkSession, "tables"), tables)
     for name in TABLES:
-        tables[name]
-    return tables
+        if name in found._tables:
+            found[name]
+    return found

@@ -44,7 +44,11 @@ class Layout:
 
 
 def replace_table(df: DataFrame, path: str, layout: Layout = Layout()) -> DataFrame:
-    """Write a full replacement and read it back, which also ends the lineage."""
+    """Write a full replacement and read it back, which also ends the lineage.
+
+    The old files go when the write begins: a failed write leaves no table, and nobody else may read
+    it meanwhile. Where that matters, write to a new path each time and switch readers over.
+    """
     laid_out = df
     if layout.rebalance:
         laid_out = laid_out.hint("rebalance", layout.day)

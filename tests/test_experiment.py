@@ -98,6 +98,42 @@ def test_target_segment_and_traffic(spark):
     assert by(x.experiment_baselines(df), "segment")["desktop"].baseline_rate == 0.5
 
 
+def test_the_extreme_shares_give_one_variant(spark):
+    df = spark.range(2000).select(F.col("id").cast("string").alias("user_pseudo_id"))
+    for share, only_one in ((0.0, "control"), (1.0, "treatment")):
+        assert [r.variant for r in x.assign_variants(df, treatment_share=share).select("variant").distinct().collect()] == [only_one]
+
+
+def test_alternatives(published):
+    p = {a: only(x.two_proportion_ztest(published, alternative=a)).p_value for a in x.ALTERNATIVES}
+    assert p["larger"] + p["smaller"] == pytest.approx(1) and p["two-sided"] == pytest.approx(2 * p["larger"])
+    assert not only(x.two_proportion_ztest(published, alternative="smaller")).is_significant
+    with pytest.raises(ValueError):
+        x.two_proportion_ztest(published, alternative="other")
+
+
+def test_a_purchase_without_checkout_is_no_conversion(spark):
+    rows = [(f"d{i}", "u", i % 10, "desktop", i < 20, i % 2 == 0) for i in range(30)]
+    row = only(x.segment_conversion(funnel(spark, rows)))
+    assert (row.purchase_sessions, row.converted_sessions, row.checkout_to_purchase_rate) == (15, 10, 0.5)
+    assert row.purchases_per_checkout == 0.75
+
+
+def test_planning_and_decision_need_the_same_number(spark):
+    df = assigned(spark, 400, 400)
+    orders = spark.createDataFrame([], "session_id string, order_revenue_usd double, has_duplicate_purchase_event boolean, has_missing_order_revenue boolean")
+    planned = only(x.sample_size(x.experiment_baselines(df), [0.10])).sample_size_per_variant
+    assert only(x.rollout_decision(df, orders, relative_lift=0.10)).required_sessions_per_variant == planned
+
+
+def test_sample_ratio_counts_the_units_in_the_test(spark):
+    df = assigned(spark, 100, 100).unionByName(
+        assigned(spark, 300, 0).withColumn("began_checkout", F.lit(False)).withColumn("user_pseudo_id", F.concat(F.lit("x"), "user_pseudo_id"))
+    )
+    row = only(x.srm_check(df))
+    assert (row.control_units, row.treatment_units) == (100, 100)
+
+
 def test_assignment_is_stable_and_even(spark):
     df = spark.range(20_000).select(F.concat(F.lit("u"), F.col("id").cast("string")).alias("user_pseudo_id"))
     once = x.assign_variants(df)

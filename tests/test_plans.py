@@ -5,15 +5,17 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from eventloom.plans.catalog import Catalog, materialize, shared_folder
+import __spark_entry__ as entry
+from eventloom.plans.catalog import TABLES, Catalog, materialize, shared_folder
 from eventloom.sources import demo_export
+from tests.conftest import event
 
 
 @pytest.fixture(scope="module")
 def tables(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("plans"))
     raw = demo_export.export(spark, "/root/testdata/sf0.001", f"{folder}/raw")
-    return materialize(raw, f"{folder}/tables")
+    return materialize(raw, f"{folder}/tables", tables=TABLES)
 
 
 @pytest.fixture()
@@ -39,8 +41,10 @@ def test_no_cross_join_and_no_python(tables, no_broadcast):
 
 
 def test_session_side_joins_add_no_shuffle(tables, no_broadcast):
-    # Rollup 1, session orders 2, funnel 3; nothing for the two joins.
-    assert len(hash_exchanges(tables.plan("session_funnel"))) == 6
+    # The sessions table 1, funnel 3; nothing more for the join.
+    assert len(hash_exchanges(tables.plan("session_funnel"))) == 4
+    # Rollup 1, session orders 2; nothing for their join.
+    assert len(hash_exchanges(tables.plan("sessions"))) == 3
 
 
 def test_funnel_shuffles_by_moment_then_chunk_then_session(tables, no_broadcast):
@@ -137,3 +141,24 @@ def test_skewed_join_sides_are_split(spark, tmp_path):
 def test_shared_folder_is_the_one_the_session_names(spark):
     named = spark.conf.get("spark.checkpoint.dir")
     assert shared_folder(spark, "x") == f"{named}/x-{spark.sparkContext.applicationId}"
+
+
+def test_views_and_tables_give_equal_rows(raw_of, tmp_path):
+    raw = raw_of(event("view_item", 1), event("purchase", 5, transaction="t", revenue=3.0, units=1))
+    views = Catalog(raw, warehouse=str(tmp_path / "a"), tables=())
+    tables = Catalog(raw, warehouse=str(tmp_path / "b"), tables=TABLES)
+    for name in ("stg_events", "sessions", "session_funnel", "orders", "executive_daily"):
+        assert views[name].exceptAll(tables[name]).isEmpty() and tables[name].exceptAll(views[name]).isEmpty()
+    assert not (tmp_path / "a").exists() and (tmp_path / "b" / "stg_events").exists()
+
+
+def test_folders_of_one_name_and_changed_files_are_told_apart(spark, tmp_path):
+    def events(folder, n):
+        (tmp_path / folder).mkdir(parents=True, exist_ok=True)
+        spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(n).write.mode("overwrite").parquet(f"{tmp_path}/{folder}/events.parquet")
+        return f"{tmp_path}/{folder}"
+
+    a, b = events("a/x", 20), events("b/x", 30)
+    count = lambda folder: entry.queries()["stg_events"](spark, folder).count()
+    assert [count(b), count(a), count(b)] == [30, 20, 30]
+    assert count(events("a/x", 10)) == 10
