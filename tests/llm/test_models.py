@@ -1,0 +1,219 @@
+"""Held-out accuracy, brute-force spans, planted passages, and the pipeline."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from eventloom.llm import decontaminate, language, pii, queries, toxicity
+from tests.llm.conftest import SMALL
+
+
+def test_language_on_held_out_rows(spark, documents):
+    rows = queries.op7_language(spark, SMALL).join(documents.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert sum(r.lang == r.lang_pred for r in rows) >= 0.95 * len(rows) and all(0 <= r.score <= 1 for r in rows)
+
+
+def test_automaton_follows_all_substrings():
+    rnd = random.Random(4)
+    text = [rnd.randint(2, 5) for _ in range(200)]
+    after = language.suffix_automaton(text)
+
+    def follows(part):
+        state = 0
+        for c in part:
+            if c not in after[state]:
+                return False
+            state = after[state][c]
+        return True
+
+    every = {tuple(text[i:j]) for i in range(200) for j in range(i + 1, min(200, i + 6) + 1)}
+    for _ in range(2000):
+        part = tuple(rnd.randint(2, 5) for _ in range(rnd.randint(1, 5)))
+        assert follows(part) == (part in every)
+
+
+def test_phrases_equal_greedy_parsing():
+    sample = {"x": ["the cat sat on the mat"], "y": ["zwei katzen saßen dort"]}
+    model = language.build(sample)
+    for text in ["the cat", "katzen", "the katzen qqq", "a", "ß-ß", "The  Mat!!" * 90]:
+        counts, sizes, _ = language.phrases(model, [text, None, "!!"])
+        points, _ = language.letters_of([text])
+        parsed = re.sub(" +", " ", "".join(map(chr, points)))
+        for k, name in enumerate(model.languages):
+            known, want = " " + sample[name][0], 0
+            for low in range(0, len(parsed), language.STRETCH):
+                part, at = parsed[low : low + language.STRETCH], 0
+                while at < len(part):
+                    end = at + 1
+                    while end < len(part) and part[at : end + 1] in known:
+                        end += 1
+                    want, at = want + 1, end
+            assert counts[k][0] == want and sizes[0] == len(parsed), (text, name)
+
+
+def test_language_of_awkward_rows(spark, awkward, nothing, documents):
+    model = language.train(documents)
+    found = language.identify(awkward, model)
+    assert found.count() == awkward.count()
+    assert {r.lang_pred for r in found.where("text IS NULL OR NOT text RLIKE '\\\\p{L}'").collect()} == {"und"}
+    assert language.identify(nothing, model).count() == 0
+    assert {r.lang_pred for r in language.identify(awkward, language.train(nothing)).collect()} == {"und"}
+
+
+def test_toxicity_on_held_out_rows(spark):
+    labels = spark.read.parquet(f"{SMALL.replace('0.001', '0.01')}/labels.parquet")
+    rows = queries.op9_toxicity(spark, SMALL.replace("0.001", "0.01")).join(labels, "doc_id").where("held_out").collect()
+    toxic, clean = [r.score for r in rows if r.toxic], [r.score for r in rows if not r.toxic]
+    above = sum((a > b) + 0.5 * (a == b) for a in toxic for b in clean) / (len(toxic) * len(clean))
+    assert above >= 0.8 and sum(x >= 0.5 for x in clean) <= 0.05 * len(clean)
+
+
+def test_label_model_finds_good_and_doubled_voters():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    true = rng.random(4000) < 0.2
+    good = np.where(true, rng.random(4000) < 0.7, rng.random(4000) < 0.02)
+    other = np.where(true, rng.random(4000) < 0.6, rng.random(4000) < 0.05)
+    noise = rng.random(4000) < 0.3
+    votes = np.stack([good, good, other, noise], 1).astype(float)
+    labels = np.where(rng.random(4000) < 0.1, ~true, true).astype(int)
+    model = toxicity.LabelModel.fit(votes, labels)
+    assert abs(model.fired[3]) < 0.5 < model.fired[2]
+    assert model.weight[0] == pytest.approx(0.5, abs=0.1) and model.weight[2] > 0.9
+    assert ((model.posterior(votes, labels) > 0.5) == true).mean() > 0.95
+
+
+def test_toxicity_of_awkward_rows(spark, awkward, nothing):
+    assert {r.score for r in toxicity.score(awkward, None).collect()} == {0.0}
+    model = toxicity.Classifier(-3.0, {"river": 4.0, "riv*": 1.0})
+    rows = toxicity.score(awkward, model).collect()
+    assert len(rows) == awkward.count() and all(r.predicted == int("river" in (r.text or "")) for r in rows)
+    assert toxicity.score(nothing, model).count() == 0
+    assert toxicity.train(nothing.withColumn("toxic", F.lit(None).cast("int"))) is None
+
+
+TEXTS = [
+    "mail a.b+c@x-y.example.org, or a@b or @c.d or x@y.z@q.r.s", "1.2.3.4 and 256.1.1.1 and 1.2.3.4.5.6.7.8 and 0001.02.3.255",
+    "4111 1111 1111 1111 and 4111-1111-1111-1112 and 4111111111111111 4111111111111111", "+1 (555) 010-9999 x +49 3 +1234567 +12345678 ++44 20 7946 0958",
+    "é4111111111111111é", "", None, "a@b.c" * 50, "9" * 3000, "." * 50 + "@" * 50 + "a.b@c.d", "+1+2+3 (4) 5-6 7 8 9 0",
+]
+
+
+def plain_spans(text):
+    found = []
+    for kind, pattern in enumerate(
+        [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
+    ):
+        for m in re.finditer(pattern, text or ""):
+            digits = [int(c) for c in re.findall("[0-9]", m.group())]
+            if kind == 1 and any(int(p) > 255 for p in m.group().split(".")):
+                continue
+            if kind == 2:
+                odd = [2 * d - 9 * (d > 4) for d in digits[-2::-2]]
+                if not 16 <= len(digits) <= 19 or (sum(digits[-1::-2]) + sum(odd)) % 10:
+                    continue
+            if kind == 3 and not 8 <= len(digits) <= 15:
+                continue
+            found.append((kind, m.start(), m.end()))
+    return sorted(found)
+
+
+def test_base_spans_equal_the_patterns(documents):
+    for text in TEXTS + [r.text for r in documents.collect()]:
+        assert sorted(pii.base_spans(text or "")) == plain_spans(text), text and text[:60]
+
+
+def test_trees_add_spans_and_keep_base_ones(spark, documents):
+    trees = pii.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    assert trees.trees and trees.thresholds
+    import numpy as np
+
+    rows = np.array([pii.features(t, s) for t in filter(None, TEXTS) for s in pii.proposals(t)])
+    assert ((trees.score(rows) > 0) & (trees.score(rows) < 1)).all()
+    for text in TEXTS:
+        base, spans = pii.find(text, trees)
+        assert set(base) <= set(spans) and base == plain_spans(text)
+
+
+def test_query_and_redaction(spark, documents, awkward, nothing):
+    rows = {r.doc_id: r for r in queries.op4_pii(spark, SMALL).collect()}
+    for d in documents.collect():
+        base = plain_spans(d.text)
+        r = rows[d.doc_id]
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(k == kind for k, *_ in base) for kind in range(4))
+        assert set(f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in base) <= set(r.spans.split(",")) | {""}
+    docs = spark.createDataFrame([(1, "to a.b@c.de, é +1 (555) 010-9999!")], "doc_id long, text string")
+    assert pii.redact(docs, pii.Trees()).first().text == "to <EMAIL>, é <PHONE>!"
+    assert pii.redact(awkward, pii.Trees()).columns == awkward.columns and pii.detect(nothing, pii.train(nothing)).count() == 0
+
+
+def test_planted_passages_are_found_and_others_not(spark):
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(2, 7)))
+    items = [[word() for _ in range(rnd.randint(12, 60))] for _ in range(30)]
+    filler = lambda n: [word() for _ in range(n)]
+    rows, want = [], set()
+    for i in range(300):
+        text = filler(rnd.randint(0, 400))
+        if i % 3 == 0:
+            k = rnd.randrange(30)
+            copy = [w if rnd.random() > 0.15 else word() for w in items[k]]
+            if i % 2:
+                copy = copy[: len(copy) // 2] + [word()] + copy[len(copy) // 2 :]
+            text = filler(50) + copy + text
+            want.add((i, k))
+        elif i % 3 == 1:
+            text = filler(100) + items[rnd.randrange(30)][:4] + text  # a few words are no copy
+        rows.append((i, " ".join(text).title()))
+    rows += [(1000 + i, " ".join(items[0])) for i in range(400)]  # an item that most documents hold
+    want |= {(1000 + i, 0) for i in range(400)}
+    docs = spark.createDataFrame(rows + [(None, None), (5000, "")], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)] + [(77, None), (78, "")], "item_id long, text string")
+    found = decontaminate.contaminated(docs, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == want
+    assert decontaminate.contaminated(docs, bench, block=300).count() == len(want)
+    exact = next(r for r in found if r.doc_id == 1000)
+    assert (exact.score, exact.matched, exact.first_word) == (1.0, len(items[0]), 0)
+    assert decontaminate.contaminated(docs.where("false"), bench).count() == decontaminate.contaminated(docs, bench.where("false")).count() == 0
+
+
+def test_alignment_equals_plain_dynamic_programming():
+    import numpy as np
+
+    rnd = random.Random(6)
+    for _ in range(200):
+        a, b = ([rnd.randint(0, 4) for _ in range(rnd.randint(1, 12))] for _ in range(2))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = max(0, best[i][j] + (2 if x == y else -1), best[i][j + 1] - 1, best[i + 1][j] - 1)
+        top, matched, start, end = decontaminate.align(np.array(a, np.uint64), np.array(b, np.uint64))
+        assert top == max(map(max, best)) and (not top or (0 <= start <= end < len(b) and matched <= len(a)))
+
+
+def test_pipeline_keeps_one_of_each_and_drops_leaks(spark, documents):
+    rows = corpus_pipeline.run(spark, SMALL)
+    assert rows.where("NOT round_trip").count() == 0
+    ids = {r.doc_id for r in rows.select("doc_id").collect()}
+    found = {r.doc_id for r in queries.op2_decontaminate(spark, SMALL).collect()}
+    assert not ids & found and len(ids) > 0.7 * documents.count()
+    texts = [r.text for r in documents.where(F.col("doc_id").isin(list(ids))).collect()]
+    assert len(set(texts)) == len(texts)
+
+
+def test_stages_on_awkward_rows(spark, awkward, nothing):
+    for docs in (awkward, nothing):
+        for name, stage in corpus_pipeline.STAGES:
+            rows = stage(spark, docs, SMALL)
+            if name != "bpe":
+                assert rows.columns == docs.columns, name
+            count = rows.count()
+            assert count <= docs.count(), name
+    kept = corpus_pipeline.deduplicated(spark, awkward, SMALL).collect()
+    assert sum(r.doc_id in (5, 6) for r in kept) == 1 and sum(r.text == "another text under the same id with some words" for r in kept) == 1
+    assert sum(r.text is not None and r.text.startswith("the quick") for r in kept) == 1
+    assert {2, 3, 4} <= {r.doc_id for r in kept}
