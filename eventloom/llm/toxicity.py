@@ -179,7 +179,7 @@ def train(
         F.col(f"`{label}`").cast("int").alias("label"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
     ).where("label in (0, 1)")
-    fit = rows.orderBy("id").limit(documents)
+    fit = rows.orderBy("id").limit(documents).repartition(32)  # the few chosen texts arrive in one task
     fit = written(fit.mapInArrow(look, "id long, label int, votes array<int>, features array<string>"), "toxicity-sample")
     more, words = _telling(fit, induced, vocabulary)
     number = {f: len(voters.names) + k for k, f in enumerate(more)}
