@@ -40,7 +40,7 @@ def byte_letters() -> dict[str, int]:
 class ForcedBoundaryBpe:
     """A vocabulary file of byte-level BPE, with the certain cuts that follow from it."""
 
-    def __init__(self, path: str, remembered: int = 600_000):
+    def __init__(self, path: str, remembered: int = 300_000):
         with open(path, encoding="utf-8") as file:
             stored = json.load(file)
         pre, model = stored.get("pre_tokenizer") or {}, stored["model"]
@@ -193,7 +193,7 @@ def _with_column(df: DataFrame, name: str, kind: T.DataType, arrow: pa.DataType,
     return rows.mapInArrow(run, schema)
 
 
-def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", remembered: int = 600_000) -> DataFrame:
+def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", remembered: int = 300_000) -> DataFrame:
     """Add the token ids of a text column, packed as little-endian unsigned 32-bit integers.
 
     `path` is a tokenizer file that the executors can open; `remembered` bounds what a worker keeps.
@@ -201,7 +201,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", remem
     return _with_column(df, ids, T.BinaryType(), pa.binary(), text, lambda texts: bpe(path, remembered).encode(texts))
 
 
-def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded", remembered: int = 600_000) -> DataFrame:
+def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded", remembered: int = 300_000) -> DataFrame:
     """Add the text that packed token ids stand for, special tokens included."""
     return _with_column(df, text, T.StringType(), pa.string(), ids, lambda rows: list(map(bpe(path, remembered).decode, rows)))
 

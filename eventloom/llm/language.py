@@ -126,7 +126,7 @@ def build(texts: dict[str, list[str]], most_classes: int = 127) -> Automata:
     return Automata(list(joined), classes, width, steps, np.array(roots, kind), bits)
 
 
-def sample(labelled: DataFrame, text: str = "text", lang: str = "lang", documents: int = 80, characters: int = 750) -> dict[str, list[str]]:
+def sample(labelled: DataFrame, text: str = "text", lang: str = "lang", documents: int = 60, characters: int = 700) -> dict[str, list[str]]:
     """Up to so many documents of each language, a stretch of so many characters of each.
 
     Chosen by the texts' hash, the lowest first. A share of three times the wanted number is read, so
@@ -152,7 +152,7 @@ def sample(labelled: DataFrame, text: str = "text", lang: str = "lang", document
     return out
 
 
-def train(labelled: DataFrame, text: str = "text", lang: str = "lang", documents: int = 80, characters: int = 750) -> Automata:
+def train(labelled: DataFrame, text: str = "text", lang: str = "lang", documents: int = 60, characters: int = 700) -> Automata:
     return build(sample(labelled, text, lang, documents, characters))
 
 
@@ -177,8 +177,8 @@ def phrases(model: Automata, texts: list[str | None]) -> tuple[np.ndarray, np.nd
     matrix = np.zeros((STRETCH, total), np.uint8)
     matrix[place % STRETCH, first[owner] + place // STRETCH] = model.classes[points]
     lane_owner = np.repeat(np.arange(n), lanes)
-    for low in range(0, total, 8192):
-        part = matrix[:, low : low + 8192]
+    for low in range(0, total, 4096):
+        part = matrix[:, low : low + 4096]
         state = np.repeat(model.roots[:, None], part.shape[1], axis=1)
         ended = np.ones(state.shape, np.int32)
         for row in part:
@@ -186,7 +186,7 @@ def phrases(model: Automata, texts: list[str | None]) -> tuple[np.ndarray, np.nd
             ended += step & 1
             state = step >> 1
         for k in range(len(model.languages)):
-            counts[k] += np.bincount(lane_owner[low : low + 8192], weights=ended[k], minlength=n)
+            counts[k] += np.bincount(lane_owner[low : low + 4096], weights=ended[k], minlength=n)
     return counts, sizes, has
 
 
@@ -201,8 +201,8 @@ def identify(df: DataFrame, model: Automata, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = sent.value
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
                 found = _judge(mine, part.column(part.num_columns - 1).to_pylist())
                 columns = [pa.array(c, kind) for c, (*_, kind) in zip(found, outputs)]
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *columns], names=schema.names)

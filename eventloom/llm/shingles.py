@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are taken together up to so many bytes; a longer one comes alone.
-BLOCK = 1 << 22
+BLOCK = 1 << 20
 
 _random = np.random.Generator(np.random.PCG64(20240229))
 _PLACE = _random.integers(1, 1 << 63, 1 << 12, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
