@@ -111,15 +111,17 @@ def build(texts: dict[str, list[str]], most_classes: int = 127) -> Automata:
         source = np.repeat(np.arange(len(after)), [len(a) for a in after])
         label = np.fromiter((c for a in after for c in a), np.int64, len(source))
         target = np.fromiter((s for a in after for s in a.values()), np.int64, len(source))
-        table = np.zeros((len(after), width), np.int64)
-        first = np.zeros(width, np.int64)
+        lost = len(after)  # a letter that this language doesn't have was a phrase of its own
+        table = np.zeros((lost + 1, width), np.int64)
+        first = np.full(width, lost, np.int64)
         first[label[source == 0]] = target[source == 0]
         table[:] = (first + base) * width * 2 + 1  # no match: a new phrase begins
+        table[0] -= 1  # the root is where the first phrase begins
         table[source, label] = (target + base) * width * 2
-        table[:, 0] = (np.arange(len(after)) + base) * width * 2
+        table[:, 0] = (np.arange(lost + 1) + base) * width * 2
         tables.append(table)
         roots.append(base * width)
-        base += len(after)
+        base += lost + 1
     kind = np.int32 if base * width * 2 < 1 << 31 else np.int64
     steps = np.concatenate([t.astype(kind).ravel() for t in tables]) if tables else np.empty(0, kind)
     bits = np.array([np.log2(max(2, len(p))) for p in joined.values()])
