@@ -36,11 +36,13 @@ SENT_ROWS = 1_000_000
 def with_signatures(df: DataFrame, text: str, name: str, chain: int = 2) -> DataFrame:
     """Add the sorted distinct signatures of a text column."""
     words, common = "words_of_" + name, lambda w: w.isin(ANCHORS)
+    # Single elements, not slices of the words: a slice copies the whole array first.
+    ahead = lambda at: F.array(*[F.get(words, at + k) for k in range(1, LOOK + 1)])
     spot = lambda w, at: F.when(
-        common(w), F.concat(F.array(w), F.slice(F.filter(F.slice(words, at + 2, F.lit(LOOK)), lambda x: ~common(x)), 1, chain))
+        common(w), F.concat(F.array(w), F.slice(F.filter(ahead(at), lambda x: x.isNotNull() & ~common(x)), 1, chain))
     )
     found = F.filter(F.transform(words, spot), lambda s: F.size(s) > 1)
-    pair = lambda w, at: F.xxhash64(F.slice(words, at + 1, F.lit(2)))
+    pair = lambda w, at: F.xxhash64(F.array_compact(F.array(w, F.get(words, at + 1))))
     spots = F.transform("spots_of_" + name, lambda s: F.xxhash64(s))
     return (
         df.withColumn(words, F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
