@@ -68,18 +68,35 @@ def test_query_equals_brute_force(spark, documents):
     assert got == brute(rows, 3, 90)
 
 
-def test_linked_sets_always_meet():
+@pytest.mark.parametrize("percent", [80, 90])
+def test_linked_sets_share_what_the_prefix_promises(spark, percent):
     import numpy as np
 
-    rng, classes = np.random.default_rng(2), jaccard_join.size_classes(80, 600)
+    rng, pairs = np.random.default_rng(2), 0
+    partners = spark.range(1, 700).select("id", jaccard_join.least_shared(F.col("id"), percent).alias("m")).collect()
+    promised = {r.id: r.m for r in partners}
     for size in (1, 2, 5, 9, 10, 12, 30, 100, 500):
-        for _ in range(40):
+        for _ in range(60):
             a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
-            drop = rng.integers(0, size // 9 + 1)
+            drop = rng.integers(0, size // 9 + 2)
             b = np.unique(np.concatenate([a[drop:], rng.integers(0, 1 << 63, rng.integers(0, size // 9 + 1), dtype=np.uint64)]))
             both = len(np.intersect1d(a, b))
-            if 100 * both >= 80 * (len(a) + len(b) - both):
-                assert set(jaccard_join.postings(a, 80, classes)) & set(jaccard_join.postings(b, 80, classes))
+            if both and 100 * both >= percent * (len(a) + len(b) - both):
+                pairs += 1
+                met = np.intersect1d(*(s[: jaccard_join.prefix_length(len(s), percent)] for s in (a, b)))
+                assert len(met) >= max(promised[len(a)], promised[len(b)])
+    assert pairs > 100
+
+
+@pytest.mark.parametrize("step", [1, 2, 3, 7, 1000])
+def test_repeated_keys_in_any_batches(monkeypatch, step):
+    import pyarrow as pa
+
+    monkeypatch.setattr(jaccard_join, "FREQUENT", 4)
+    rows = sorted([(k, v) for k in range(9) for v in range(k)] + [(3, 0), (8, 7), (8, 7), (6, 0)])
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[i : i + step])], names=["key", "node"]) for i in range(0, len(rows), step)]
+    got = [tuple(r.values()) for b in jaccard_join.repeated(iter(batches)) for r in b.to_pylist()]
+    assert got == [(k, v, min(k, 4)) for k in range(2, 9) for v in range(k)]
 
 
 def test_awkward_rows(spark, awkward, nothing):
