@@ -86,6 +86,9 @@ def test_linked_sets_share_what_the_prefix_promises(spark, percent):
                 met = np.intersect1d(*(s[: jaccard_join.prefix_length(len(s), percent)] for s in (a, b)))
                 assert len(met) >= max(promised[len(a)], promised[len(b)])
     assert pairs > 100
+    for x in range(1, 200):
+        most = jaccard_join.largest_sharing(x, percent)
+        assert jaccard_join.shared_prefix(most, percent) <= x < jaccard_join.shared_prefix(most + 1, percent)
 
 
 @pytest.mark.parametrize("step", [1, 2, 3, 7, 1000])
