@@ -33,23 +33,30 @@ DOCUMENTS_PER_BUCKET = 1000
 SENT_ROWS = 1_000_000
 
 
+def _bound(value: Column, use) -> Column:
+    """use(value), with the value computed once, also where the optimizer moves the whole expression into a filter."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def with_signatures(df: DataFrame, text: str, name: str, chain: int = 2) -> DataFrame:
     """Add the sorted distinct signatures of a text column."""
-    words, common = "words_of_" + name, lambda w: w.isin(ANCHORS)
-    # Single elements, not slices of the words: a slice copies the whole array first.
-    ahead = lambda at: F.array(*[F.get(words, at + k) for k in range(1, LOOK + 1)])
-    spot = lambda w, at: F.when(
-        common(w), F.concat(F.array(w), F.slice(F.filter(ahead(at), lambda x: x.isNotNull() & ~common(x)), 1, chain))
-    )
-    found = F.filter(F.transform(words, spot), lambda s: F.size(s) > 1)
-    pair = lambda w, at: F.xxhash64(F.array_compact(F.array(w, F.get(words, at + 1))))
-    spots = F.transform("spots_of_" + name, lambda s: F.xxhash64(s))
-    return (
-        df.withColumn(words, F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
-        .withColumn("spots_of_" + name, found)
-        .withColumn(name, F.sort_array(F.array_distinct(F.when(F.size("spots_of_" + name) > 0, spots).otherwise(F.transform(words, pair)))))
-        .drop(words, "spots_of_" + name)
-    )
+    common = lambda w: w.isin(ANCHORS)
+
+    def spots(words: Column) -> Column:
+        # Single elements, not slices of the words: a slice copies the whole array first.
+        ahead = lambda at: F.array(*[F.get(words, at + k) for k in range(1, LOOK + 1)])
+        spot = lambda w, at: F.when(
+            common(w), F.concat(F.array(w), F.slice(F.filter(ahead(at), lambda x: x.isNotNull() & ~common(x)), 1, chain))
+        )
+        return F.filter(F.transform(words, spot), lambda s: F.size(s) > 1)
+
+    def signatures(words: Column) -> Column:
+        pair = lambda w, at: F.xxhash64(F.array_compact(F.array(w, F.get(words, at + 1))))
+        hashed = lambda found: F.transform(found, lambda s: F.xxhash64(s))
+        return _bound(spots(words), lambda found: F.when(F.size(found) > 0, hashed(found)).otherwise(F.transform(words, pair)))
+
+    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return df.withColumn(name, F.sort_array(F.array_distinct(_bound(words, signatures))))
 
 
 def fingerprint(signatures: str) -> Column:
