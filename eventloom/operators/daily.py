@@ -32,13 +32,14 @@ FLAG_COUNTS = {
     "sessions_with_funnel_order_gap": "has_funnel_order_gap",
 }
 
-# Stage names in order, and per funnel type the counts they come from.
+# Stage names in order, and per funnel type the counts they come from.
 STAGE_NAMES = ("Product view", "Add to cart", "Checkout", "Purchase")
 FUNNEL_TYPES = {
     "Observed": list(FLAG_COUNTS)[0:4],
     "Sequential": list(FLAG_COUNTS)[4:8],
 }
 
+# Labels of the session types.
 NEW_SESSION, OTHER_SESSION = "New user session", "Returning or other session"
 SEGMENT_DIMENSIONS = ["device_category", "country", "first_user_source", "first_user_medium"]
 

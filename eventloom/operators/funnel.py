@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from eventloom.functions.columns import elapsed_seconds
 
+# Event names of the stages, in order.
 STAGES = ("view_item", "add_to_cart", "begin_checkout", "purchase")
 
-# Stage labels and statuses, from no stage reached to the last one.
+# Stage labels and statuses, from no stage reached to the last one.
 STAGE_LABELS = ("0 - No product view", "1 - Product view", "2 - Add to cart", "3 - Checkout", "4 - Purchase")
 STATUSES = (
     "No product view",

@@ -21,6 +21,7 @@ ATTRIBUTES = ["item_id", "item_name", "item_brand", "item_variant", "item_catego
 # The item id is part of the product key, so it is grouped by, not searched for.
 LATEST = ATTRIBUTES[1:]
 
+# Recommendation labels.
 NO_VIEWS = "No observed product views"
 REVIEW = "Tracking review needed"
 CANDIDATE = "Experiment candidate"

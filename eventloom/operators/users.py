@@ -16,6 +16,7 @@ from eventloom.functions.columns import (
     week_start,
 )
 
+# Customer types.
 NON_PURCHASER, ONE_TIME, REPEAT = "Non-purchaser", "One-time purchaser", "Repeat purchaser"
 
 SESSION_COUNTS = {
