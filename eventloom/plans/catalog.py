@@ -103,7 +103,7 @@ class Catalog(Mapping[str, DataFrame]):
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A folder of this application below the one the cluster names in `spark.checkpoint.dir`."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared is None:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{shared.rstrip('/')}/{name}-{spark.sparkContext.applicationId}"
