@@ -1,5 +1,6 @@
 """The registered queries in a session that names no shared folder, as a smoke test starts it."""
 
+import os
 import subprocess
 import sys
 from pathlib import Path
@@ -13,7 +14,8 @@ assert entry.entry(spark).count() > 0
 """
 
 
-def test_flagship_runs_without_a_named_shared_folder():
+def test_flagship_runs_without_a_named_shared_folder(tmp_path):
     root = Path(__file__).resolve().parents[1]
-    done = subprocess.run([sys.executable, "-c", SCRIPT], cwd=root, capture_output=True, text=True, timeout=300)
+    plain = {**os.environ, "SPARK_CONF_DIR": str(tmp_path)}  # no defaults of the machine
+    done = subprocess.run([sys.executable, "-c", SCRIPT], cwd=root, env=plain, capture_output=True, text=True, timeout=300)
     assert done.returncode == 0, done.stderr[-2000:]
