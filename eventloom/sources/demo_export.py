@@ -48,7 +48,8 @@ def _param(key: str, text: Column | None = None, number: Column | None = None) -
 
 def _item(j: Column) -> Column:
     k, user = F.col("k"), F.col("shopper")
-    product = (k * 3 + j * 11 + user * 7) % 240
+    # The number of products grows with the users; a third of the rows fall on the same 240 everywhere.
+    product = F.when(k % 3 == 0, (k * 3 + j * 11) % 240).otherwise(k * 3 + j * 11 + user * 7)
     price = F.when(product % 13 != 0, (product % 40 + 10).cast("double"))
     quantity = F.when((k + j) % 6 != 0, j + 1)
     revenue = F.when(
@@ -61,15 +62,25 @@ def _item(j: Column) -> Column:
         item_brand=_text("Brand#", (product + k) % 25),
         item_variant=F.when(product % 3 != 0, _text("v", product % 3)),
         item_category=_pick(product, "bolt", "widget", "", "gear", "panel"),
+        item_category2=F.when(product % 2 == 0, _text("second ", product % 6)),
+        item_category3=_text("third ", product % 7),
+        item_category4=F.when(product % 9 > 2, _text("fourth ", product % 9)),
+        item_category5=_pick(product, "", "fifth", " fifth "),
         price_in_usd=price,
         price=price * 2,
         quantity=quantity,
         item_revenue_in_usd=revenue,
         item_revenue=revenue * 2,
         coupon=F.when(k % 10 == 3, F.lit("SAVE")),
+        affiliation=_text("shop ", user % 3),
+        location_id=F.when(k % 8 > 0, _text("place ", k % 8)),
         item_list_id=_text("list ", k % 4),
-        item_list_name=F.lit(" "),
+        item_list_name=_pick(k, " ", "First list", "Second list"),
         item_list_index=j.cast("string"),
+        promotion_id=F.when(k % 2 == 1, _text("P-", k % 6)),
+        promotion_name=F.when(k % 2 == 1, _text("offer ", user % 6)),
+        creative_name=_text("banner ", (k + j) % 3),
+        creative_slot=F.when(j > 0, _text("slot ", j)),
     )
 
 
@@ -129,9 +140,12 @@ def raw_events(events: DataFrame) -> DataFrame:
         # The export's dates are local to a shop eight hours west of UTC.
         "event_date": F.date_format(F.timestamp_micros(F.col("us") - EIGHT_HOURS_US), "yyyyMMdd"),
         "event_timestamp": F.col("us"),
+        "event_previous_timestamp": F.when(k % 3 > 0, F.col("us") - k * 1000),
         "event_bundle_sequence_id": F.col("event_id"),
+        "event_server_timestamp_offset": F.when(k % 2 == 0, k * 10),
         "event_name": F.col("event_name"),
         "user_pseudo_id": F.when(k != 97, pseudo_id),
+        "user_id": F.when(user % 4 == 0, _text("login ", user)),
         "platform": F.when(user % 10 == 8, "IOS").when(user % 10 == 9, "ANDROID").otherwise("WEB"),
         "device": _null_struct(
             RAW_EVENT["device"].dataType,
