@@ -1,11 +1,13 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: n-gram seeds, rare ones first, then Smith-Waterman alignment of words.
 
-Texts are read as words of letters and digits, lower-cased. First, for every n-gram of the benchmark
-items, the documents that hold it are counted over all documents. An item's seeds are its n-grams in
-at most `common` of all documents, and always the rarer half of them, ties included. So an item that
-thousands of documents hold keeps seeds too. Then each document that holds seeds of an item is
-aligned with it, around each place where a seed lies: matches score 2, other words and gaps -1. The
-share of the best possible score is the pair's score; pairs from `least` on are returned.
+Texts are read as words of letters and digits, lower-cased. For every n-gram of the benchmark items,
+the documents that hold it are counted over all documents. Each document that holds an n-gram of an
+item is a candidate for it. Around a rare n-gram (in at most `common` of all documents) the two are
+aligned at once. Around more frequent ones, which may be an item that very many documents hold or
+mere common words, they are aligned unless `most` shows that no alignment there can reach `least`; that
+bound is never too low, so no pair is lost by frequency. Matches score 2, other words and gaps -1. The
+share of the best possible score is the pair's score; pairs from `least` on are returned. A document
+that has no n words in a row with an item is no candidate for it.
 
 The benchmark is taken in blocks of at most `block` n-grams, each sent to all executors; documents
 are scanned per block and never shuffled. Only seed counts are (bounded by the block).
@@ -118,17 +120,12 @@ def _texts(batch: pa.RecordBatch) -> pa.Array:
     return pc.utf8_lower(batch.column(1))
 
 
-def _seeds(items: Items, counts: np.ndarray, documents: int, common: float) -> np.ndarray:
-    """Which rows of the items' grams are seeds; counts: documents that hold each row's gram."""
-    seeds = counts <= common * documents
-    order = np.lexsort((counts, items.item))
-    owner = items.item[order]
-    begins = np.searchsorted(owner, np.arange(len(items.ids) + 1))
-    for a, b in zip(begins[:-1].tolist(), begins[1:].tolist()):
-        if a < b:
-            own = order[a:b]
-            seeds[own] |= counts[own] <= counts[own[(b - a - 1) // 2]]
-    return seeds
+def most(query: np.ndarray, window: np.ndarray) -> int:
+    """No local alignment scores more: each word of the window that the query has as a match, every other one as a loss."""
+    known = np.isin(window, query)
+    total = np.concatenate([[0], np.cumsum(np.where(known, 2, -1))])
+    best = int((total - np.minimum.accumulate(total)).max())
+    return min(best, 2 * int(np.isin(query, window[known]).sum())) if best else 0
 
 
 def contaminated(
@@ -195,14 +192,13 @@ def _against(docs: DataFrame, items: Items, n: int, least: float, common: float)
             documents = r["n"]
         else:
             counts[r["gram"]] = r["n"]
-    seeds = _seeds(items, counts[np.searchsorted(known, items.grams)], documents, common)
-    grams, owner = items.grams[seeds], items.item[seeds]
-    pairs = np.unique(np.stack([grams, owner.astype(np.uint64)]), axis=1)
+    pairs = np.unique(np.stack([items.grams, items.item.astype(np.uint64)]), axis=1)
     seed, first = np.unique(pairs[0], return_index=True)
-    model = spark.sparkContext.broadcast((seed, np.append(first, pairs.shape[1]), pairs[1].astype(np.int64), items, sizes))
+    rare = counts <= common * documents  # `known` and `seed` are the same n-grams
+    model = spark.sparkContext.broadcast((seed, np.append(first, pairs.shape[1]), pairs[1].astype(np.int64), rare, items, sizes))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seed, first, owner, items, sizes = model.value
+        seed, first, owner, rare, items, sizes = model.value
         for batch in batches:
             ids, out = batch.column(0), []
             for row, _, data, limits in blocks(_texts(batch)):
@@ -211,10 +207,10 @@ def _against(docs: DataFrame, items: Items, n: int, least: float, common: float)
                     continue
                 many = first[which + 1] - first[which]
                 at = np.repeat(first[which] - (np.cumsum(many) - many), many) + np.arange(many.sum())
-                item, place = owner[at], np.repeat(place, many)
+                item, place, sure = owner[at], np.repeat(place, many), np.repeat(rare[which], many)
                 doc = rows[place]
                 order = np.lexsort((place, item, doc))
-                item, place, doc = item[order], place[order], doc[order]
+                item, place, doc, sure = item[order], place[order], doc[order], sure[order]
                 begins = np.searchsorted(rows, np.arange(len(limits)))
                 near = np.array([2 * len(w) + 16 for w in items.words])[item]
                 new = np.ones(len(item), bool)
@@ -226,7 +222,8 @@ def _against(docs: DataFrame, items: Items, n: int, least: float, common: float)
                     query = items.words[k]
                     low = max(int(begins[d]), int(place[a]) - 2 * len(query))
                     high = min(int(begins[d + 1]), int(place[b - 1]) + 2 * len(query) + 1)
-                    for top, matched, start, end in _windows(query, words[low:high]):
+                    floor = 0 if sure[a:b].any() else 2 * len(query) * least
+                    for top, matched, start, end in _windows(query, words[low:high], floor):
                         share = top / (2 * len(query))
                         if share >= least and share > best.get((d, k), (0,))[0]:
                             best[d, k] = (share, matched, low + start - int(begins[d]), low + end - int(begins[d]))
@@ -239,9 +236,15 @@ def _against(docs: DataFrame, items: Items, n: int, least: float, common: float)
     return docs.mapInArrow(score, PAIRS)
 
 
-def _windows(query: np.ndarray, words: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-    """Alignments in overlapping windows, so that a run of many seeds costs no more memory than one."""
+def _windows(query: np.ndarray, words: np.ndarray, floor: float = 0) -> Iterator[tuple[int, int, int, int]]:
+    """Alignments in overlapping windows, so that a run of many seeds costs no more memory than one.
+
+    Windows in which no alignment can score `floor` or more are left out.
+    """
     size = max(256, 6 * len(query))
     for at in range(0, max(1, len(words) - 2 * len(query)), size - 2 * len(query)):
-        top, matched, start, end = align(query, words[at : at + size])
+        window = words[at : at + size]
+        if floor and most(query, window) < floor:
+            continue
+        top, matched, start, end = align(query, window)
         yield top, matched, at + start, at + end

@@ -197,6 +197,55 @@ def test_alignment_equals_plain_dynamic_programming():
         assert top == max(map(max, best)) and (not top or (0 <= start <= end < len(b) and matched <= len(a)))
 
 
+def test_edited_and_partial_copies_of_hot_items_are_found(spark):
+    rnd = random.Random(12)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(2, 7)))
+    filler = lambda n: [word() for _ in range(n)]
+    items = [[word() for _ in range(15)], [word() for _ in range(20)]]
+    rows, want = [], set()
+
+    def add(k, part):
+        i = len(rows)
+        rows.append((i, " ".join(filler(20) + part + filler(20))))
+        shared = {tuple(part[j : j + 3]) for j in range(len(part) - 2)} & {tuple(items[k][j : j + 3]) for j in range(len(items[k]) - 2)}
+        if shared and plain_score(items[k], rows[-1][1].split()) >= len(items[k]):
+            want.add((i, k))
+
+    for k, item in enumerate(items):
+        for _ in range(60):
+            add(k, item)  # exact copies: no n-gram of the item is rare
+        for _ in range(60):
+            add(k, item[: len(item) * 2 // 3])  # the rarer half is what partial copies lack
+        for _ in range(100):
+            copy = list(item)
+            for at in rnd.sample(range(len(copy)), len(copy) // 3):
+                copy[at] = word()
+            add(k, copy)
+        for _ in range(60):
+            add(k, item[:4])  # common words, no copy
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    assert len(want) > 350
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect()} == want
+
+
+def plain_score(a, b):
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            best[i + 1][j + 1] = max(0, best[i][j] + (2 if x == y else -1), best[i][j + 1] - 1, best[i + 1][j] - 1)
+    return max(map(max, best))
+
+
+def test_no_alignment_scores_more_than_the_bound():
+    import numpy as np
+
+    rnd = random.Random(7)
+    for _ in range(500):
+        a, b = ([rnd.randint(0, 6) for _ in range(rnd.randint(1, 15))] for _ in range(2))
+        assert decontaminate.most(np.array(a, np.uint64), np.array(b, np.uint64)) >= plain_score(a, b)
+
+
 def test_pipeline_keeps_one_of_each_and_drops_leaks(spark, documents):
     rows = corpus_pipeline.run(spark, SMALL)
     assert rows.where("NOT round_trip").count() == 0
