@@ -8,7 +8,7 @@ automaton can follow; the language that needs the fewest phrases, normalised to
 Texts are lower-cased; every run of characters other than letters counts as one space. A text is
 parsed in stretches of `STRETCH` characters, all stretches of a batch in step: a phrase ends at a
 stretch's end for every language alike. The automata are fit on a bounded sample of the labelled rows
-(`documents` per language and `characters` of each, taken at a place given by the text's hash).
+(`documents` distinct texts per language and `characters` of each, taken at a place given by the text's hash).
 
 Cases: a text that is null or has no letter is "und" with score 0; so is every text if there is no
 labelled one. Of equal languages the first by name wins. The score is one less the ratio of the best
@@ -23,10 +23,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventloom.llm.workspace import written
+
 STRETCH = 256
 UNDETERMINED = "und"
 MOST_LANGUAGES = 200
@@ -129,31 +131,53 @@ def build(texts: dict[str, list[str]], most_classes: int = 127) -> Automata:
 
 
 def sample(labelled: DataFrame, text: str = "text", lang: str = "lang", documents: int = 60, characters: int = 700) -> dict[str, list[str]]:
-    """Up to so many documents of each language, a stretch of so many characters of each.
+    """Up to so many distinct texts of each language, a stretch of so many characters of each.
 
-    Chosen by the texts' hash, the lowest first. A share of three times the wanted number is read, so
-    what reaches the driver is bounded by languages * documents * 3 * characters.
+    Those with the lowest hashes of each language are taken, however many copies there are of any text.
+    Each task and each merge keeps at most `documents` hashes of a language; what reaches the driver is
+    bounded by languages * documents * characters.
     """
     rows = labelled.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"{len(counts)} languages; at most {MOST_LANGUAGES} can be learned")
-    if not counts:
-        return {}
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 3.0 * documents / n))])
     order = F.xxhash64("text")
+    lowest = written(_lowest(rows.select("lang", order.alias("order")), documents), "language-sample")
+    found = lowest.groupBy("lang").agg(F.max("order").alias("last")).limit(MOST_LANGUAGES + 1).collect()
+    if len(found) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages; at most {MOST_LANGUAGES} can be learned")
+    if not found:
+        return {}
+    last = F.create_map(*[F.lit(x) for r in found for x in (r["lang"], r["last"])])
     place = F.pmod(order, F.greatest(F.length("text") - characters, F.lit(1))).cast("int") + 1
-    chosen = rows.where(F.pmod(order, F.lit(1_000_003)) < share[F.col("lang")] * 1_000_003)
-    found = chosen.select("lang", order.alias("order"), F.substring("text", place, F.lit(characters)).alias("text")).distinct()
+    chosen = rows.where(order <= last[F.col("lang")])
+    chosen = chosen.select("lang", order.alias("order"), F.substring("text", place, F.lit(characters)).alias("text")).distinct()
     out: dict[str, list[str]] = {}
-    for r in sorted(found.collect(), key=lambda r: (r["lang"], r["order"])):
-        own = out.setdefault(r["lang"], [])
-        if len(own) < documents:
-            own.append(r["text"])
+    for r in sorted(chosen.collect(), key=lambda r: (r["lang"], r["order"], r["text"])):
+        out.setdefault(r["lang"], []).append(r["text"])
     return out
 
 
+def _lowest(rows: DataFrame, documents: int) -> DataFrame:
+    """(lang, order): the lowest distinct numbers of each language, so many at most."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+        for batch in batches:
+            names = batch.column(0).dictionary_encode()
+            codes, order = names.indices.to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
+            for k, name in enumerate(names.dictionary.to_pylist()):
+                own = np.concatenate([held.get(name, order[:0]), order[codes == k]])
+                held[name] = np.unique(own)[:documents]
+            if len(held) > MOST_LANGUAGES:
+                break  # more than can be learned, as the driver will see
+        names, numbers = [n for n, own in held.items() for _ in own], [np.empty(0, np.int64), *held.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(np.concatenate(numbers))], names=["lang", "order"])
+
+    # Spark applies the limit by rank within each task too, before rows are dealt by language.
+    distinct = rows.mapInArrow(keep, "lang string, order long").distinct()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
+    return distinct.withColumn("rank", rank).where(F.col("rank") <= documents).drop("rank")
+
+
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", documents: int = 60, characters: int = 700) -> Automata:
     return build(sample(labelled, text, lang, documents, characters))
 

@@ -35,6 +35,16 @@ def test_automaton_follows_all_substrings():
         assert follows(part) == (part in every)
 
 
+def test_sample_of_a_language_that_is_mostly_copies(spark):
+    rows = [("xx", "the same old text")] * 20_000 + [("xx", f"text number {chr(97 + i % 26)}{chr(97 + i // 26)}") for i in range(200)]
+    rows += [("yy", f"zwei katzen {chr(97 + i)}") for i in range(26)] + [("yy", "zwei katzen a")] * 5000 + [("zz", "einzig")] * 3000
+    labelled = spark.createDataFrame(rows, "lang string, text string").repartition(7)
+    found = language.sample(labelled)
+    assert {k: len(v) for k, v in found.items()} == {"xx": 60, "yy": 26, "zz": 1} and all(len(set(v)) == len(v) for v in found.values())
+    hashed = labelled.where("lang = 'xx'").select(F.xxhash64("text").alias("h"), "text").distinct().orderBy("h").limit(60).collect()
+    assert found["xx"] == [r.text for r in hashed] == language.sample(labelled.repartition(3))["xx"]
+
+
 def test_phrases_equal_greedy_parsing():
     sample = {"x": ["the cat sat on the mat"], "y": ["zwei katzen saßen dort"]}
     model = language.build(sample)
