@@ -24,37 +24,40 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each class linked by word 5-shingles at a Jaccard of 0.8: the one with the smallest id.
 
-    Texts without words are no copies of one another and stay. Of rows with the same id and the same
-    words one stays; rows without an id stay unless a copy has one.
+    Texts without words are no copies of one another and stay. Of rows with the same id one of the class
+    stays. A row without an id stays if no row of its class has one, and is then the only one.
     """
     found = jaccard_join.jaccard_classes(docs, n=5, percent=80)
-    same_id = F.col("doc_id").eqNullSafe(F.col("component")) | (F.col("size") == 0)
-    kept = written(found.where(same_id).groupBy("doc_id", "node").agg(F.count("*").alias("rows")), "pipeline-kept")
-    kept = kept.select(F.col("doc_id").alias(PROBE + "id"), F.col("node").alias(PROBE + "node"), F.col("rows").alias(PROBE + "rows"))
-    repeated = not kept.where(F.col(PROBE + "rows") > 1).isEmpty()
-    if kept.select(PROBE + "id").distinct().count() == kept.count() and not repeated:
-        # Every kept id belongs to one row: the ids alone decide.
-        return docs.join(kept.select(PROBE + "id"), docs["doc_id"].eqNullSafe(F.col(PROBE + "id")), "left_semi")
-    return _one_of_each(docs, kept)
+    least = found.where((F.col("size") == 0) | F.col("doc_id").eqNullSafe(F.col("component")))
+    kept = written(least.groupBy("class", "doc_id").agg(F.min("node").alias("node")).select("doc_id", "node"), "pipeline-kept")
+    kept = kept.select(F.col("doc_id").alias(PROBE + "id"), F.col("node").alias(PROBE + "node"))
+    if docs.groupBy("doc_id").agg(F.count("*").alias("rows")).where("doc_id IS NULL OR rows > 1").isEmpty():
+        # Every id of the whole table belongs to one row: the ids alone decide.
+        return docs.join(kept.select(PROBE + "id"), docs["doc_id"] == F.col(PROBE + "id"), "left_semi")
+    return _one_of_each(docs, kept.where(F.col(PROBE + "node") != jaccard_join.EMPTY))
 
 
 def _one_of_each(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """For tables with repeated ids: rows are told apart by their sets too, and one of each stays."""
+    """For tables with repeated or null ids: rows are told apart by their sets too, and one of each in `kept` stays."""
     rows = docs.select(F.struct(*_all(docs)).alias(PROBE + "row"), F.col("doc_id"), F.col("text"))
     node = jaccard_join.nodes(rows, 5, PROBE + "node_")
-    joined = node.join(
-        kept, F.col("doc_id").eqNullSafe(F.col(PROBE + "id")) & (F.col(PROBE + "node_") == F.col(PROBE + "node")), "inner"
-    )
-    whole = F.when(F.col(PROBE + "node") == jaccard_join.EMPTY, F.monotonically_increasing_id()).otherwise(F.lit(0))
-    return _rows(joined.withColumn(PROBE + "copy", whole).dropDuplicates(["doc_id", PROBE + "node", PROBE + "copy"]), docs)
+    empty = F.col(PROBE + "node_") == jaccard_join.EMPTY
+    node = node.withColumn(PROBE + "copy", F.when(empty, F.monotonically_increasing_id() + 1).otherwise(F.lit(0)))
+    same = F.col("doc_id").eqNullSafe(F.col(PROBE + "id")) & (F.col(PROBE + "node_") == F.col(PROBE + "node")) & (F.col(PROBE + "copy") == F.col(PROBE + "zero"))
+    joined = node.join(kept.withColumn(PROBE + "zero", F.lit(0)), same, "left").where(empty | F.col(PROBE + "node").isNotNull())
+    return _rows(joined.dropDuplicates(["doc_id", PROBE + "node_", PROBE + "copy"]), docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a benchmark passage, edited or not."""
+    """Drop documents that hold a benchmark passage, edited or not.
+
+    Rows are told apart by a 64-bit hash of id and text, so that clean rows under a repeated or null id stay.
+    """
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = written(decontaminate.contaminated(docs, benchmark).select("doc_id").distinct(), "pipeline-leaks")
-    found = found.withColumnRenamed("doc_id", PROBE + "id")
-    return docs.join(found, docs["doc_id"].eqNullSafe(F.col(PROBE + "id")), "left_anti")
+    keyed = docs.select(F.xxhash64("doc_id", "text").alias(PROBE + "key"), F.col("text"))
+    found = decontaminate.contaminated(keyed, benchmark, doc_id=PROBE + "key").select("doc_id").distinct()
+    found = written(found, "pipeline-leaks").withColumnRenamed("doc_id", PROBE + "key")
+    return docs.join(found, F.xxhash64(docs["doc_id"], docs["text"]) == F.col(PROBE + "key"), "left_anti")
 
 
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -278,3 +278,27 @@ def test_stages_on_awkward_rows(spark, awkward, nothing):
     assert sum(r.doc_id in (5, 6) for r in kept) == 1 and sum(r.text == "another text under the same id with some words" for r in kept) == 1
     assert sum(r.text is not None and r.text.startswith("the quick") for r in kept) == 1
     assert {2, 3, 4} <= {r.doc_id for r in kept}
+
+
+def test_clean_rows_under_a_contaminated_id_stay(spark):
+    leak = spark.read.parquet(f"{SMALL}/benchmark.parquet").where("text IS NOT NULL").orderBy("item_id").first().text
+    rows = [(None, leak), (None, "a clean text without an id"), (None, None), (7, leak), (7, "a clean text under a repeated id"), (8, "clean")]
+    kept = corpus_pipeline.decontaminated(spark, spark.createDataFrame(rows, "doc_id long, text string"), SMALL).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([r for r in rows if r[1] != leak], key=str)
+
+
+def test_one_row_of_each_class_under_repeated_and_null_ids(spark):
+    base = [f"{c}{i}" for c in "abcdef" for i in range(10)]
+    text = lambda start, last=None: " ".join([f"{start}{w}" for w in base] + ([last] if last else []))
+    rows = [
+        (1, text("p")), (5, text("p")), (5, text("q")),  # the copy under id 5 goes, the other text under it stays
+        (None, text("r")), (None, text("r", "x")), (None, text("r")), (None, text("s")),  # linked rows without ids: one stays
+        (9, text("t")), (9, text("t", "x")), (None, text("t", "y")),  # linked and unequal under one id: one stays
+        (None, ""), (None, ""), (9, None), (9, "  "),
+    ]
+    for docs in (rows, rows[1:2] + rows[:1]):
+        kept = corpus_pipeline.deduplicated(spark, spark.createDataFrame(docs, "doc_id long, text string"), SMALL).collect()
+        assert sum((r.text or "").startswith("pa") for r in kept) == 1 and min(r.doc_id for r in kept if (r.text or "").startswith("pa")) == 1
+    kept = corpus_pipeline.deduplicated(spark, spark.createDataFrame(rows, "doc_id long, text string"), SMALL).collect()
+    found = sorted((str(r.doc_id), (r.text or "").strip()[:1]) for r in kept)
+    assert found == sorted([("1", "p"), ("5", "q"), ("None", "r"), ("None", "s"), ("9", "t"), ("None", ""), ("None", ""), ("9", ""), ("9", "")])
