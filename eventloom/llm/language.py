@@ -39,7 +39,9 @@ class Automata:
     """Suffix automata of several languages as one table of steps.
 
     A step from state s (already times `width`) over class c leads to steps[s + c] >> 1; its lowest bit
-    is set if a phrase ended before the character. Class 0 is padding and stays where it is.
+    is set if a phrase ended before the character. Class 0 is padding and stays where it is, class 1 a
+    letter that no sample has. Classes from `width` on are letters too rare for a column of their own:
+    their steps are listed by state * `rare` + class - width in `keys`, and lead to `after`.
     """
 
     languages: list[str]
@@ -48,6 +50,10 @@ class Automata:
     steps: np.ndarray
     roots: np.ndarray
     bits: np.ndarray  # logarithm of the length of each language's text
+    rare: int
+    keys: np.ndarray  # sorted
+    after: np.ndarray
+    lost: np.ndarray  # by language, the state after a letter that it doesn't have
 
 
 def letters_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +100,7 @@ def suffix_automaton(text: list[int]) -> list[dict[int, int]]:
 
 
 def build(texts: dict[str, list[str]], most_classes: int = 127) -> Automata:
-    """Automata from sample texts by language."""
+    """Automata from sample texts by language; letters beyond the most frequent ones have sparse steps."""
     joined = {}
     for language in sorted(texts):
         points, limits = letters_of([" " + t for t in texts[language]])
@@ -103,16 +109,22 @@ def build(texts: dict[str, list[str]], most_classes: int = 127) -> Automata:
         joined[language] = points[keep]
     every = np.concatenate([*joined.values(), [32]])
     value, count = np.unique(every, return_counts=True)
-    common = value[np.lexsort((value, -count))][: most_classes - 1]
-    classes = np.full(0x110000, 1, np.uint8)  # 1: a letter that no sample has
-    classes[common] = np.arange(2, len(common) + 2)
+    value = value[np.lexsort((value, -count))]
+    common, others = value[: most_classes - 1], value[most_classes - 1 :]
     width = 1 << int(len(common) + 1).bit_length()
-    tables, roots, base = [], [], 0
+    classes = np.full(0x110000, 1, np.uint8 if not len(others) else np.int32)  # 1: a letter that no sample has
+    classes[common] = np.arange(2, len(common) + 2)
+    classes[others] = np.arange(width, width + len(others))
+    tables, roots, losts, base = [], [], [], 0
+    keys, after_rare = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for points in joined.values():
         after = suffix_automaton(classes[points].tolist())
         source = np.repeat(np.arange(len(after)), [len(a) for a in after])
         label = np.fromiter((c for a in after for c in a), np.int64, len(source))
         target = np.fromiter((s for a in after for s in a.values()), np.int64, len(source))
+        sparse = label >= width
+        keys.append((source[sparse] + base) * len(others) + label[sparse] - width), after_rare.append(target[sparse] + base)
+        source, label, target = source[~sparse], label[~sparse], target[~sparse]
         lost = len(after)  # a letter that this language doesn't have was a phrase of its own
         table = np.zeros((lost + 1, width), np.int64)
         first = np.full(width, lost, np.int64)
@@ -122,12 +134,30 @@ def build(texts: dict[str, list[str]], most_classes: int = 127) -> Automata:
         table[source, label] = (target + base) * width * 2
         table[:, 0] = (np.arange(lost + 1) + base) * width * 2
         tables.append(table)
-        roots.append(base * width)
+        roots.append(base * width), losts.append(lost + base)
         base += lost + 1
     kind = np.int32 if base * width * 2 < 1 << 31 else np.int64
     steps = np.concatenate([t.astype(kind).ravel() for t in tables]) if tables else np.empty(0, kind)
     bits = np.array([np.log2(max(2, len(p))) for p in joined.values()])
-    return Automata(list(joined), classes, width, steps, np.array(roots, kind), bits)
+    key, to = np.concatenate(keys), np.concatenate(after_rare)
+    order = np.argsort(key)
+    return Automata(list(joined), classes, width, steps, np.array(roots, kind), bits, len(others), key[order], to[order], np.array(losts, np.int64))
+
+
+def _rare_steps(model: Automata, state: np.ndarray, letters: np.ndarray) -> np.ndarray:
+    """The entries that `steps` would have, for states by language (rows) and rare classes (columns)."""
+
+    def look(states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        wanted = states * np.int64(model.rare) + (letters.astype(np.int64) - model.width)
+        i = np.minimum(np.searchsorted(model.keys, wanted), len(model.keys) - 1)
+        return model.keys[i] == wanted, model.after[i]
+
+    here = state.astype(np.int64) // model.width
+    root = (model.roots.astype(np.int64) // model.width)[:, None]
+    held, to = look(here)
+    begun, first = look(np.broadcast_to(root, here.shape))
+    to = np.where(held, to, np.where(begun, first, model.lost[:, None]))
+    return to * model.width * 2 + (~held & (here != root))
 
 
 def sample(labelled: DataFrame, text: str = "text", lang: str = "lang", documents: int = 60, characters: int = 700) -> dict[str, list[str]]:
@@ -200,7 +230,7 @@ def phrases(model: Automata, texts: list[str | None]) -> tuple[np.ndarray, np.nd
         return counts, sizes, has
     first = np.cumsum(lanes) - lanes
     place = np.arange(len(points)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    matrix = np.zeros((STRETCH, total), np.uint8)
+    matrix = np.zeros((STRETCH, total), model.classes.dtype)
     matrix[place % STRETCH, first[owner] + place // STRETCH] = model.classes[points]
     lane_owner = np.repeat(np.arange(n), lanes)
     for low in range(0, total, 4096):
@@ -208,7 +238,11 @@ def phrases(model: Automata, texts: list[str | None]) -> tuple[np.ndarray, np.nd
         state = np.repeat(model.roots[:, None], part.shape[1], axis=1)
         ended = np.ones(state.shape, np.int32)
         for row in part:
-            step = model.steps.take(state + row)
+            if model.rare and len(sparse := np.flatnonzero(row >= model.width)):
+                step = model.steps.take(state + np.where(row < model.width, row, 0))
+                step[:, sparse] = _rare_steps(model, state[:, sparse], row[sparse])
+            else:
+                step = model.steps.take(state + row)
             ended += step & 1
             state = step >> 1
         for k in range(len(model.languages)):

@@ -64,6 +64,33 @@ def test_phrases_equal_greedy_parsing():
             assert counts[k][0] == want and sizes[0] == len(parsed), (text, name)
 
 
+def test_letters_beyond_the_most_frequent_ones_keep_their_identity():
+    rnd = random.Random(3)
+    letters = [chr(0x4E00 + i) for i in range(600)]
+    shuffled = rnd.sample(letters, 600)
+    order = {c: shuffled[i] for i, c in enumerate(letters)}
+    sample = {
+        "x": ["".join(rnd.choice(letters) for _ in range(700))], "y": ["the cat sat on the mat " * 9],
+        "z": ["".join(order[c] for c in rnd.choices(letters, k=700))],
+    }
+    model = language.build(sample)
+    texts = [sample["x"][0][100:300], sample["z"][0][300:500], "the cat " + sample["x"][0][5:9] + "龥q龥 mat", "".join(rnd.choices(letters, k=900))]
+    for text in texts:
+        counts, _, _ = language.phrases(model, [text])
+        for k, name in enumerate(model.languages):
+            known, want = re.sub(" +", " ", " " + sample[name][0]), 0
+            parsed = text
+            for low in range(0, len(parsed), language.STRETCH):
+                part, at = parsed[low : low + language.STRETCH], 0
+                while at < len(part):
+                    end = at + 1
+                    while end < len(part) and part[at : end + 1] in known:
+                        end += 1
+                    want, at = want + 1, end
+            assert counts[k][0] == want, (name, text[:20])
+    assert language._judge(model, texts[:2])[0] == ["x", "z"]
+
+
 def test_language_of_awkward_rows(spark, awkward, nothing, documents):
     model = language.train(documents)
     found = language.identify(awkward, model)
