@@ -1,6 +1,7 @@
 """Benchmark decontamination: n-gram seeds, rare ones first, then Smith-Waterman alignment of words.
 
-Texts are read as words of letters and digits, lower-cased. For every n-gram of the benchmark items,
+Texts are read as words of Unicode letters, marks and digits, lower-cased; a letter of a script without
+spaces is a word, and every other character separates. For every n-gram of the benchmark items,
 the documents that hold it are counted over all documents. Each document that holds an n-gram of an
 item is a candidate for it. Around a rare n-gram (in at most `common` of all documents) the two are
 aligned at once. Around more frequent ones, which may be an item that very many documents hold or
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.shingles import LETTERS, blocks, hash_words, mix
+from eventloom.llm.shingles import blocks, letter_words, mix
 from eventloom.llm.workspace import written
 
 PAIRS = "doc_id long, item_id long, score double, matched int, first_word long, last_word long"
@@ -55,8 +56,8 @@ def read_items(rows: list[tuple], n: int) -> Items:
     ids = [i for i, _ in rows]
     words = []
     for _, text in rows:
-        data = np.frombuffer((text or "").lower().encode("utf-8", "replace"), np.uint8)
-        words.append(hash_words(data, np.array([0, len(data)]), LETTERS)[0])
+        [(_, _, data, limits)] = blocks(_lowered(pa.array([text or ""])))
+        words.append(letter_words(data, limits)[0])
     grams, item, place = [], [], []
     for k, own in enumerate(words):
         size = min(n, len(own))
@@ -75,7 +76,7 @@ def _sizes(items: Items, n: int) -> list[int]:
 
 def _found(data: np.ndarray, limits: np.ndarray, known: np.ndarray, sizes: list[int]):
     """Words and rows of some texts, and (index in known, place of the first word) of every known n-gram."""
-    words, rows = hash_words(data, limits, LETTERS)
+    words, rows = letter_words(data, limits)
     which, place = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for size in sizes:
         value, at = gram_hashes(words, rows, size)
@@ -114,10 +115,10 @@ def align(query: np.ndarray, window: np.ndarray) -> tuple[int, int, int, int]:
     return top, matched, start, end
 
 
-def _texts(batch: pa.RecordBatch) -> pa.Array:
+def _lowered(texts: pa.Array) -> pa.Array:
     import pyarrow.compute as pc
 
-    return pc.utf8_lower(batch.column(1))
+    return pc.utf8_lower(texts)
 
 
 def most(query: np.ndarray, window: np.ndarray) -> int:
@@ -176,7 +177,7 @@ def _against(docs: DataFrame, items: Items, n: int, least: float, common: float)
         total, documents = np.zeros(len(known), np.int64), 0
         for batch in batches:
             documents += batch.num_rows
-            for _, _, data, limits in blocks(_texts(batch)):
+            for _, _, data, limits in blocks(_lowered(batch.column(1))):
                 _, rows, which, place = _found(data, limits, known, sizes)
                 pairs = np.unique(which * np.int64(len(limits)) + rows[place])
                 total += np.bincount(pairs // len(limits), minlength=len(known))
@@ -201,7 +202,7 @@ def _against(docs: DataFrame, items: Items, n: int, least: float, common: float)
         seed, first, owner, rare, items, sizes = model.value
         for batch in batches:
             ids, out = batch.column(0), []
-            for row, _, data, limits in blocks(_texts(batch)):
+            for row, _, data, limits in blocks(_lowered(batch.column(1))):
                 words, rows, which, place = _found(data, limits, seed, sizes)
                 if not len(which):
                     continue

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,9 +18,15 @@ _BYTE[65:91] = _BYTE[97:123]
 #: White space between words: space and the control characters 9 to 13.
 SPACES = np.ones(256, bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = False
-#: Words of letters and digits: every other ASCII character separates.
+#: ASCII letters and digits.
 LETTERS = np.zeros(256, bool)
-LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+#: Scripts written without spaces: each of their letters is a word of its own.
+UNSPACED = [
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF),
+    (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9D), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF),
+]
+SEPARATOR, LETTER, MARK, ALONE = range(4)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -45,11 +52,52 @@ def blocks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
         row = end
 
 
+_points: list[np.ndarray] = []
+
+
+def _point_kinds() -> np.ndarray:
+    """What each code point is: a separator, a letter or digit, a mark on a letter, or a word of its own."""
+    if not _points:
+        first = [unicodedata.category(chr(i))[0] for i in range(0x110000)]
+        kinds = np.array([{"L": LETTER, "N": LETTER, "M": MARK}.get(c, SEPARATOR) for c in first], np.uint8)
+        for low, high in UNSPACED:
+            part = kinds[low : high + 1]
+            part[np.array([c == "L" for c in first[low : high + 1]])] = ALONE
+        kinds[0x3007] = ALONE
+        _points.append(kinds)
+    return _points[0]
+
+
+def letter_words(data: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Like hash_words, with words of Unicode letters, their marks and digits in UTF-8; every other character separates."""
+    lead = np.flatnonzero(data >= 0xC0)
+    if not len(lead):
+        return hash_words(data, limits, LETTERS)
+    size = 2 + (data[lead] >= 0xE0) + (data[lead] >= 0xF0).astype(np.int64)
+    point = data[lead].astype(np.int64) & (0xFF >> (size + 1))
+    for k in range(1, 4):
+        more = size > k
+        point[more] = point[more] << 6 | (data[lead[more] + k] & 0x3F)
+    kind = LETTERS[data].astype(np.uint8)
+    found = _point_kinds()[np.minimum(point, 0x10FFFF)]
+    for k in range(4):
+        more = size > k
+        kind[lead[more] + k] = found[more]
+    inside = kind != SEPARATOR
+    begins = inside & ((data < 0x80) | (data >= 0xC0))
+    begins[1:] &= ~inside[:-1] | (kind[1:] == ALONE) | ((kind[:-1] == ALONE) & (kind[1:] != MARK))
+    return _hashed(data, limits, inside, begins)
+
+
 def hash_words(data: np.ndarray, limits: np.ndarray, kinds: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray]:
     """Hash and row of each word of some texts, A to Z as a to z. `kinds`: the bytes that words are made of."""
     inside = kinds[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
+    return _hashed(data, limits, inside, begins, kinds)
+
+
+def _hashed(data: np.ndarray, limits: np.ndarray, inside: np.ndarray, begins: np.ndarray, kinds: np.ndarray | None = None):
     first = limits[:-1][np.diff(limits) > 0]  # a text's first byte may start a word though the last text ended in one
     begins[first] = inside[first]
     starts = np.flatnonzero(begins)
@@ -57,7 +105,7 @@ def hash_words(data: np.ndarray, limits: np.ndarray, kinds: np.ndarray = SPACES)
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     place = np.arange(len(data), dtype=np.int32)
     place[starts[0] :] -= np.repeat(starts.astype(np.int32), np.diff(starts, append=len(data)))
-    value = np.where(kinds, _BYTE, np.uint64(0))[data]
+    value = _BYTE[data] * inside if kinds is None else np.where(kinds, _BYTE, np.uint64(0))[data]
     value *= _PLACE[place & 4095]
     return mix(np.add.reduceat(value, starts)), np.searchsorted(limits, starts, side="right") - 1
 

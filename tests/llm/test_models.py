@@ -188,6 +188,26 @@ def test_query_and_redaction(spark, documents, awkward, nothing):
     assert pii.redact(awkward, pii.Trees()).columns == awkward.columns and pii.detect(nothing, pii.train(nothing)).count() == 0
 
 
+def test_words_of_other_scripts_and_separators():
+    import numpy as np
+
+    from eventloom.llm.shingles import letter_words
+
+    def words(*texts):
+        data = np.frombuffer("".join(texts).encode(), np.uint8)
+        return letter_words(data, np.cumsum([0, *[len(t.encode()) for t in texts]]))
+
+    plain = words("one two été zwei 3 fünf")[0].tolist()
+    for text in ["one\u00a0two\u3000été—zwei“3”fünf", "«one» two…été–zwei\u2003‘3’, fünf", "one two, été. zwei/3 fünf "]:
+        assert words(text)[0].tolist() == plain, text
+    part, whole = words("日本語の本")[0].tolist(), words("x、昔日本語の本がある。")[0].tolist()
+    assert len(part) == 5 and whole[2:7] == part and len(words("हिन्दी कि")[0]) == 2 and len(words("😀 — «»")[0]) == 0
+    assert words("é", "", "日b日", "a")[1].tolist() == [0, 2, 2, 2, 3]
+    items = decontaminate.read_items([(1, "İSTANBUL ÉTÉ ẞ one"), (2, "")], 3)
+    data = [d for *_, d, _ in decontaminate.blocks(decontaminate._lowered(decontaminate.pa.array(["İSTANBUL ÉTÉ ẞ one"])))][0]
+    assert items.words[0].tolist() == letter_words(data, np.array([0, len(data)]))[0].tolist() and not len(items.words[1])
+
+
 def test_planted_passages_are_found_and_others_not(spark):
     rnd = random.Random(8)
     word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(2, 7)))
