@@ -38,9 +38,12 @@ def byte_letters() -> dict[str, int]:
 
 
 class ForcedBoundaryBpe:
-    """A vocabulary file of byte-level BPE, with the certain cuts that follow from it."""
+    """A vocabulary file of byte-level BPE, with the certain cuts that follow from it.
 
-    def __init__(self, path: str, remembered: int = 300_000):
+    Without `special`, strings of added tokens are ordinary text.
+    """
+
+    def __init__(self, path: str, remembered: int = 300_000, special: bool = True):
         with open(path, encoding="utf-8") as file:
             stored = json.load(file)
         pre, model = stored.get("pre_tokenizer") or {}, stored["model"]
@@ -64,14 +67,14 @@ class ForcedBoundaryBpe:
         self.made = np.zeros(len(self.merges), np.int64)
         self.made[self.ranks] = [self.merges[a, b][1] for a, b in self.keys.tolist()]
         self.keys = self.keys[:, 0] << 32 | self.keys[:, 1]
-        special = {t["content"]: t["id"] for t in stored.get("added_tokens", [])}
-        for s, i in special.items():
+        added = {t["content"]: t["id"] for t in stored.get("added_tokens", [])}
+        for s, i in added.items():
             self.tokens[i] = s.encode()
         ordered = [self.tokens.get(i, b"") for i in range(max(self.tokens) + 1)]
         self.bytes = np.frombuffer(b"".join(ordered), np.uint8)
         self.sizes = np.fromiter(map(len, ordered), np.int64, len(ordered))
         self.places = np.cumsum(self.sizes) - self.sizes
-        self.encode = WordEncoder(self.of_words, {s: i.to_bytes(4, "little") for s, i in special.items()}, remembered)
+        self.encode = WordEncoder(self.of_words, {s: i.to_bytes(4, "little") for s, i in added.items() if special}, remembered)
 
     def fragments(self, data: bytes, starts: np.ndarray) -> np.ndarray:
         """Begins of the fragments of words that lie end to end: where a word starts, and at certain cuts."""

@@ -8,8 +8,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import bpe, decontaminate, jaccard_join, language, pii, spotsigs, token_count, token_files, toxicity, url_filter
-from eventloom.llm.workspace import new_folder
+from eventloom.llm import (
+    alignment,
+    bpe,
+    decontaminate,
+    jaccard_join,
+    language,
+    pii,
+    piece_table,
+    ranking,
+    spotsigs,
+    token_count,
+    token_files,
+    toxicity,
+    url_filter,
+)
+from eventloom.llm.workspace import new_folder, written
 from eventloom.session import configure
 
 TOKENIZER, UNIGRAM = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -100,11 +114,33 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_piece_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = piece_table.fill_in_middle(docs, percent=90, suffix_first=20).drop("text")
+    return piece_table.restore(made, texts=False).drop("output")
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned = alignment.align(docs, vocabulary(TOKENIZER), vocabulary(UNIGRAM), groups=False).drop("text")
+    found = alignment.count_links(written(aligned, "alignment"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op13_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", remainder("doc_id", 3) == 1)
+    labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 3) != 1)
+    model = ranking.train(labels, docs)
+    ranked = written(ranking.rank(docs, model).drop("text"), "ranked")
+    return ranking.decide(ranked, ranking.cut(ranked, labels), learned=model is not None)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_url_filter, op2_decontaminate, op3_token_count, op4_pii, op5_spotsigs,
         op6_token_files, op7_language, op8_jaccard_join, op9_toxicity, op10_bpe,
+        op11_piece_table, op12_alignment, op13_ranking,
     )
 }
 
@@ -129,5 +165,29 @@ WITH parts AS (
 SELECT page_id, host, path, rule,
     CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
 FROM judged
+""",    "op11_piece_table": r"""
+WITH drawn AS (
+    SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+    FROM documents
+), numbers AS (
+    SELECT doc_id, t, n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+        ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4
+    FROM drawn
+), cuts AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+        CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+             WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM numbers
+), parts AS (
+    SELECT *, substring(t, 1, low) AS a, substring(t, low + 1, high - low) AS b, substring(t, high + 1, n - high) AS c FROM cuts
+)
+SELECT doc_id, n, form,
+    CASE WHEN form <> 'plain' THEN low END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN high - low END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t
+        WHEN 'psm' THEN '<P>' || a || '<S>' || c || '<M>' || b
+        ELSE '<S>' || c || '<P>' || a || '<M>' || b END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM parts
 """,
 }
