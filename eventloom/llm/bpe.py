@@ -3,8 +3,8 @@
 A pair of bytes that stands inside no token of the vocabulary can't be bridged by any merge, so the
 place between them is a certain cut. Texts are cut there, and where the pre-tokenizer cuts; the
 fragments are merged each on its own, those of many words in step, and their ids concatenated. The
-result equals merging the whole text. The ids of the last words are remembered, a bounded number;
-long fragments without a cut are merged with a heap in n log n.
+result equals merging the whole text. The ids of the last words are remembered, a bounded number and size,
+until a task ends; long fragments without a cut are merged with a heap in n log n.
 
 Cases: null and empty texts have no ids; strings of added tokens become their ids, longest first;
 repeated rows give repeated results; an empty table gives an empty one. Decoding turns bytes that
@@ -25,9 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventloom.llm.batches import slices
 from eventloom.llm.pieces import WordEncoder
 
 SHORT = 48
+SLICE_BYTES = 1 << 20
 
 
 def byte_letters() -> dict[str, int]:
@@ -180,33 +182,52 @@ def bpe(path: str, remembered: int) -> ForcedBoundaryBpe:
     return ForcedBoundaryBpe(path, remembered)
 
 
-def _with_column(df: DataFrame, name: str, kind: T.DataType, arrow: pa.DataType, source: str, make) -> DataFrame:
-    """df with a column made from another one's Python values, a list of some rows at a time."""
-    out_names = [c for c in df.columns if c.lower() != name.lower()]
-    rows = df.select(*[F.col(f"`{c}`") for c in out_names], F.col(f"`{source}`").alias("source_of_" + name))
-    schema = T.StructType([*rows.schema.fields[:-1], T.StructField(name, kind)])
+def _with_columns(df: DataFrame, outputs: dict[str, tuple[T.DataType, pa.DataType]], source: str, path: str, remembered: int, make) -> DataFrame:
+    """df with columns made from another one's Python values, slices of bounded size at a time.
+
+    A column that stays is sent once, also if it is the source.
+    """
+    names = {c.lower() for c in outputs}
+    out_names = [c for c in df.columns if c.lower() not in names]
+    place = next((i for i, c in enumerate(out_names) if c.lower() == source.lower()), len(out_names))
+    rows = df.select(*[F.col(f"`{c}`") for c in out_names], *([F.col(f"`{source}`").alias("source_of_bpe")] if place == len(out_names) else []))
+    n = len(out_names)
+    schema = T.StructType([*rows.schema.fields[:n], *[T.StructField(c, kind) for c, (kind, _) in outputs.items()]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                made = pa.array(make(part.column(part.num_columns - 1).to_pylist()), arrow)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], made], names=schema.names)
+        model = bpe(path, remembered)
+        try:
+            for batch in batches:
+                for part in slices(batch, place, SLICE_BYTES):
+                    made = make(model, part.column(place).to_pylist())
+                    columns = [pa.array(c, kind) for c, (_, kind) in zip(made, outputs.values())]
+                    yield pa.RecordBatch.from_arrays([*part.columns[:n], *columns], names=schema.names)
+        finally:
+            model.encode.forget()  # the worker may wait long for its next task, beside others
 
     return rows.mapInArrow(run, schema)
 
 
-def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", remembered: int = 300_000) -> DataFrame:
+def encode(
+    df: DataFrame, path: str, text: str = "text", ids: str = "ids", remembered: int = 300_000, decoded: str | None = None
+) -> DataFrame:
     """Add the token ids of a text column, packed as little-endian unsigned 32-bit integers.
 
     `path` is a tokenizer file that the executors can open; `remembered` bounds what a worker keeps.
+    With `decoded`, a column of that name has the text that the ids stand for, found in the same pass.
     """
-    return _with_column(df, ids, T.BinaryType(), pa.binary(), text, lambda texts: bpe(path, remembered).encode(texts))
+
+    def make(model: ForcedBoundaryBpe, texts: list[str | None]) -> list[list]:
+        packed = model.encode(texts)
+        return [packed, list(map(model.decode, packed))] if decoded else [packed]
+
+    outputs = {ids: (T.BinaryType(), pa.binary())} | ({decoded: (T.StringType(), pa.string())} if decoded else {})
+    return _with_columns(df, outputs, text, path, remembered, make)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded", remembered: int = 300_000) -> DataFrame:
     """Add the text that packed token ids stand for, special tokens included."""
-    return _with_column(df, text, T.StringType(), pa.string(), ids, lambda rows: list(map(bpe(path, remembered).decode, rows)))
+    return _with_columns(df, {text: (T.StringType(), pa.string())}, ids, path, remembered, lambda model, rows: [list(map(model.decode, rows))])
 
 
 def as_array(ids: str = "ids") -> F.Column:

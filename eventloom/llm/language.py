@@ -10,6 +10,8 @@ parsed in stretches of `STRETCH` characters, all stretches of a batch in step: a
 stretch's end for every language alike. The automata are fit on a bounded sample of the labelled rows
 (`documents` distinct texts per language and `characters` of each, taken at a place given by the text's hash).
 
+At most `MOST_LANGUAGES` languages can be learned; more are an error, as the automata would pass a worker's memory.
+
 Cases: a text that is null or has no letter is "und" with score 0; so is every text if there is no
 labelled one. Of equal languages the first by name wins. The score is one less the ratio of the best
 to the second-best number of bits, 1 with only one language. Repeated rows get the same result; an
@@ -18,6 +20,7 @@ empty table gives an empty one. Columns named like an output are replaced, all o
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,9 +30,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventloom.llm.workspace import written
+from eventloom.llm.batches import slices
+from eventloom.llm.files import make_folder, open_input, open_output
+from eventloom.llm.workspace import new_folder, written
 
 STRETCH = 256
+SLICE_BYTES = 1 << 20
 UNDETERMINED = "und"
 MOST_LANGUAGES = 200
 
@@ -251,25 +257,58 @@ def phrases(model: Automata, texts: list[str | None]) -> tuple[np.ndarray, np.nd
 
 
 def identify(df: DataFrame, model: Automata, text: str = "text") -> DataFrame:
-    """Add lang_pred, score, lang_phrases (of the winner) and lang_chars (what was parsed)."""
+    """Add lang_pred, score, lang_phrases (of the winner) and lang_chars (what was parsed).
+
+    The automata are written below the shared folder once and memory-mapped by the workers. A column
+    that stays is sent to them once, also if it is the text.
+    """
     outputs = [("lang_pred", T.StringType(), pa.string()), ("score", T.DoubleType(), pa.float64()), ("lang_phrases", T.LongType(), pa.int64()), ("lang_chars", T.LongType(), pa.int64())]
     kept = [c for c in df.columns if c.lower() not in [name for name, *_ in outputs]]
-    rows = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("source_of_lang"))
-    schema = T.StructType([*rows.schema.fields[:-1], *[T.StructField(name, kind) for name, kind, _ in outputs]])
-    sent = df.sparkSession.sparkContext.broadcast(model)
+    n = len(kept)
+    place = next((i for i, c in enumerate(kept) if c.lower() == text.lower()), n)
+    rows = df.select(*[F.col(f"`{c}`") for c in kept], *([F.col(f"`{text}`").alias("source_of_lang")] if place == n else []))
+    schema = T.StructType([*rows.schema.fields[:n], *[T.StructField(name, kind) for name, kind, _ in outputs]])
+    folder = store(model, new_folder(df.sparkSession, "automata"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine = sent.value
+        mine = load(folder)
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                found = _judge(mine, part.column(part.num_columns - 1).to_pylist())
+            for part in slices(batch, place, SLICE_BYTES):
+                found = _judge(mine, part.column(place).to_pylist())
                 columns = [pa.array(c, kind) for c, (*_, kind) in zip(found, outputs)]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *columns], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*part.columns[:n], *columns], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
 
+ARRAYS = ("classes", "steps", "roots", "bits", "keys", "after", "lost")
+
+
+def store(model: Automata, folder: str) -> str:
+    """Write the automata below a folder: a file of the bytes of each array, and one that names them."""
+    make_folder(folder)
+    kinds = {}
+    for name in ARRAYS:
+        array = getattr(model, name)
+        kinds[name] = array.dtype.str
+        with open_output(f"{folder}/{name}") as file:
+            file.write(array.tobytes())
+    with open_output(f"{folder}/model.json") as file:
+        file.write(json.dumps({"languages": model.languages, "width": model.width, "rare": model.rare, "kinds": kinds}).encode())
+    return folder
+
+
+def load(folder: str) -> Automata:
+    """The stored automata; where the folder is on a local file system, as memory maps that all workers share."""
+    with open_input(f"{folder}/model.json") as file:
+        said = json.loads(file.read())
+    arrays = {}
+    for name, kind in said["kinds"].items():
+        with open_input(f"{folder}/{name}") as file:
+            arrays[name] = np.frombuffer(file.read_buffer(), kind)
+    return Automata(languages=said["languages"], width=said["width"], rare=said["rare"], **arrays)
+
+
 def rejected() -> F.Column:
     """Whether what `identify` found speaks against every language: no letters, or phrases of under two characters on average."""
     return (F.col("lang_pred") == UNDETERMINED) | (2 * (F.col("lang_phrases") - 1) > F.col("lang_chars"))

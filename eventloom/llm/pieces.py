@@ -25,19 +25,30 @@ def words(text: str) -> list[str]:
     return _words_of_any(text) if _beyond_latin(text) else _words_of_latin(text)
 
 
+#: Longer words are worked out each time, so that text without spaces isn't remembered whole.
+LONGEST = 256
+#: Characters and bytes remembered by a worker, of keys and values together.
+MOST_BYTES = 32 << 20
+
+
 class WordEncoder:
     """Packed ids of texts, put together from those of their words.
 
     `encode_words` is asked for the words of a batch that aren't remembered. When more than
-    `remembered` words would be, all are forgotten, so memory is bounded; no result depends on it.
-    `special` has the packed ids of added tokens, at which texts are cut first, the longest first.
+    `remembered` words, or `most_bytes` of them and their ids, would be, all are forgotten, so memory is
+    bounded by count and by size; no result depends on it. `special` has the packed ids of added tokens, at
+    which texts are cut first, the longest first.
     """
 
-    def __init__(self, encode_words: Callable[[list[str]], list[bytes]], special: dict[str, bytes], remembered: int):
-        self.encode_words, self.special, self.remembered = encode_words, special, remembered
-        self.known: dict[str, bytes] = {}
+    def __init__(self, encode_words: Callable[[list[str]], list[bytes]], special: dict[str, bytes], remembered: int, most_bytes: int = MOST_BYTES):
+        self.encode_words, self.special, self.remembered, self.most_bytes = encode_words, special, remembered, most_bytes
         longest = sorted(map(re.escape, special), key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(longest) + ")") if longest else None
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, bytes] = dict(self.special)
+        self.bytes = 0
 
     def _parts(self, text: str) -> list[str]:
         if self.cut is None or not self.cut.search(text):
@@ -51,25 +62,34 @@ class WordEncoder:
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         parts = [self._parts(t) if t else [] for t in texts]
         new = self._unknown(parts)
-        if len(self.known) + len(new) > self.remembered:
-            self.known = {}
+        if len(self.known) + len(new) > self.remembered or self.bytes > self.most_bytes:
+            self.forget()
             new = self._unknown(parts)
         if new:
-            self.known.update(zip(new, self.encode_words(new)))
-            self.known.update(self.special)
+            made = self.encode_words(new)
+            self.known.update(zip(new, made))
+            self.bytes += sum(map(len, new)) + sum(map(len, made))
         get = self.known.__getitem__
-        return [b"".join(map(get, own)) for own in parts]
+        out = [b"".join(map(get, own)) for own in parts]
+        for word in new:
+            if len(word) > LONGEST:
+                self.bytes -= len(word) + len(self.known.pop(word))
+        return out
 
 
 class Memo(dict):
-    """Results by piece, forgotten all at once when there are `most` of them, so that memory is bounded."""
+    """Results by piece, forgotten all at once when there are `most` of them or `most_bytes` characters, so that memory is bounded."""
 
-    def __init__(self, make, most: int):
+    def __init__(self, make, most: int, most_bytes: int = MOST_BYTES):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.most_bytes, self.bytes = make, most, most_bytes, 0
 
     def __missing__(self, piece):
-        if len(self) >= self.most:
-            self.clear()
-        self[piece] = made = self.make(piece)
+        made = self.make(piece)
+        if len(piece) <= LONGEST:
+            if len(self) >= self.most or self.bytes > self.most_bytes:
+                self.clear()
+                self.bytes = 0
+            self[piece] = made
+            self.bytes += len(piece)
         return made

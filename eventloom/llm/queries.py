@@ -105,8 +105,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary(TOKENIZER)
-    docs = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
-    return bpe.decode(docs.select("doc_id", "ids"), path).select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode(docs, path, decoded="decoded").select(
         "doc_id",
         F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,6 +92,19 @@ def test_letters_beyond_the_most_frequent_ones_keep_their_identity():
     assert language._judge(model, texts[:2])[0] == ["x", "z"]
 
 
+def test_stored_automata_are_the_same(spark):
+    rare = {"x": ["".join(chr(0x4E00 + i) for i in range(300)) + "abc"], "y": ["abc abd" * 20]}
+    for texts in ({}, {"y": rare["y"]}, rare):
+        model = language.build(texts)
+        again = language.load(language.store(model, language.new_folder(spark, "test-automata")))
+        assert (again.languages, again.width, again.rare) == (model.languages, model.width, model.rare)
+        for name in language.ARRAYS:
+            assert np.array_equal(getattr(model, name), getattr(again, name)) and getattr(model, name).dtype == getattr(again, name).dtype
+        if texts:
+            for found, wanted in zip(language.phrases(again, ["abc 一丁 zz", None]), language.phrases(model, ["abc 一丁 zz", None])):
+                assert np.array_equal(found, wanted)
+
+
 def test_language_of_awkward_rows(spark, awkward, nothing, documents):
     model = language.train(documents)
     found = language.identify(awkward, model)

@@ -8,6 +8,7 @@ import pytest
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 from eventloom.llm import bpe, queries, token_count, token_files
+from eventloom.llm.pieces import LONGEST, Memo, WordEncoder
 from eventloom.llm.workspace import new_folder
 
 BPE, UNIGRAM = queries.vocabulary(queries.TOKENIZER), queries.vocabulary(queries.UNIGRAM)
@@ -105,3 +106,29 @@ def test_files_of_awkward_rows(spark, awkward, nothing):
     rows = token_files.read_token_files(files).collect()
     assert len(rows) == awkward.count() and sum(r.n_tokens == 1 for r in rows) == 3
     assert token_files.read_token_files(token_files.write_token_files(nothing, new_folder(spark, "t"), BPE, 2)).count() == 0
+
+
+def test_what_is_remembered_is_bounded_by_size():
+    unbroken = ["".join(random.Random(k).choices("abcdefgh", k=20_000)) for k in range(20)]
+    mine = bpe.ForcedBoundaryBpe(BPE)
+    library = Tokenizer.from_file(BPE)
+    for text, packed in zip(unbroken, mine.encode(unbroken)):
+        assert np.frombuffer(packed, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert mine.encode.bytes == 0 and not set(unbroken) & set(mine.encode.known)
+    small = WordEncoder(mine.of_words, {}, remembered=10_000, most_bytes=300)
+    texts = [" ".join(f"w{k}x{i}" for i in range(10)) for k in range(50)]
+    assert [small([t])[0] for t in texts] == mine.encode(texts)
+    assert small.bytes < 600 and small.bytes == sum(len(k) + len(v) for k, v in small.known.items())
+    memo = Memo(len, 1000, most_bytes=50)
+    assert all(memo["x" * k] == k for k in range(400)) and sum(map(len, memo)) <= 50 + LONGEST
+    assert max(map(len, memo)) <= LONGEST
+    counter = token_count.ViterbiCounter(token_count.read_vocabulary(UNIGRAM), 1000)
+    for text in unbroken[:2]:
+        counter.count(text)
+    assert len(counter.word) == 0
+
+
+def test_decoding_in_the_same_pass(awkward):
+    both = bpe.encode(awkward, BPE, decoded="again").collect()
+    apart = bpe.decode(bpe.encode(awkward, BPE), BPE, text="again").collect()
+    assert sorted(map(repr, both)) == sorted(map(repr, apart)) and all(r.again == (r.text or "") for r in both)
