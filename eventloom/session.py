@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows travel to Python workers in batches bounded by size, not only by number.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 
