@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from eventloom.llm import bpe, decontaminate, jaccard_join, language, pii, queries
 from eventloom.llm.workspace import written
+from eventloom.session import configure
 
 PROBE = "pipeline_"  # columns of a stage's own, dropped before it returns
 
@@ -16,9 +17,12 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The automata are learned from all labelled rows that come in, a bounded sample of them.
     """
+    configure(spark)
     model = language.train(docs)
-    found = language.identify(docs.select(F.struct(*_all(docs)).alias(PROBE + "row"), F.col("text")), model)
-    return _rows(found.where(~language.rejected()), docs)
+    # Under names of its own, no column is replaced by an output, and each text is sent to Python once.
+    named = [PROBE + str(i) for i in range(len(docs.columns))]
+    found = language.identify(docs.toDF(*named), model, text=named[docs.columns.index("text")])
+    return found.where(~language.rejected()).select(*named).toDF(*docs.columns)
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,6 +31,7 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     Texts without words are no copies of one another and stay. Of rows with the same id one of the class
     stays. A row without an id stays if no row of its class has one, and is then the only one.
     """
+    configure(spark)
     found = jaccard_join.jaccard_classes(docs, n=5, percent=80)
     least = found.where((F.col("size") == 0) | F.col("doc_id").eqNullSafe(F.col("component")))
     kept = written(least.groupBy("class", "doc_id").agg(F.min("node").alias("node")).select("doc_id", "node"), "pipeline-kept")
@@ -53,6 +58,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Rows are told apart by a 64-bit hash of id and text, so that clean rows under a repeated or null id stay.
     """
+    configure(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     keyed = docs.select(F.xxhash64("doc_id", "text").alias(PROBE + "key"), F.col("text"))
     found = decontaminate.contaminated(keyed, benchmark, doc_id=PROBE + "key").select("doc_id").distinct()
@@ -62,6 +68,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace personal data by the name of its kind; n_chars counts the new text."""
+    configure(spark)
     found = pii.redact(docs, pii.train(docs))
     if "n_chars" not in docs.columns:
         return found
@@ -71,10 +78,10 @@ def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, number of tokens, ids, and whether the ids decode to the text."""
+    configure(spark)
     path = queries.vocabulary(queries.TOKENIZER)
-    rows = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path)
-    checked = bpe.decode(rows, path)
-    return checked.select(
+    rows = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, decoded="decoded")
+    return rows.select(
         "doc_id", "lang", "source", F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"), "ids",
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
     )
