@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from eventloom.functions.columns import elapsed_seconds
@@ -24,58 +23,92 @@ STATUSES = (
 )
 
 
-def _earliest(stage: int, not_before: Column | None, window: W) -> Column:
-    """Earliest moment in the window where a stage occurs, optionally not before another time."""
-    occurs = F.col("stages").bitwiseAND(1 << stage) != 0
-    if not_before is not None:
-        occurs = occurs & (F.col("at") >= not_before)
-    return F.min(F.when(occurs, F.col("at"))).over(window)
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """The body with the value bound once: inside a lambda an expression would be worked out for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _moments(
-    events: DataFrame, stages: Sequence[str], key: str, time: str, chunk_seconds: int, name: str = "event_name"
-) -> DataFrame:
-    """One row per (key, moment) with the set of stages seen then, as bits.
+def _places(n: int) -> dict[tuple[int, int], int]:
+    """Where a transfer table has the time of a stage for a walk that enters with so many stages done."""
+    pairs = [(entry, stage) for entry in range(n) for stage in range(entry, n)]
+    return {pair: i for i, pair in enumerate(pairs)}
+
 
-    The grouping combines on the map side, so copies of an event vanish before the shuffle.
+def _table_of(times: Sequence[Column]) -> Column:
+    """The transfer table of one chunk from the times of each stage, in any order.
+
+    For every entry state: the earliest time of its next stage, then of each later stage the
+    earliest not before the one before it; NULL from where the walk gets no farther.
     """
-    bit = F.lit(0)
-    for number, stage in enumerate(stages):
-        bit = F.when(F.col(name) == stage, 1 << number).otherwise(bit)
-    chunk = F.floor(F.unix_micros(time) / F.lit(chunk_seconds * 1_000_000))
-    return (
-        events.where(F.col(key).isNotNull() & F.col(name).isin(*stages))
-        .groupBy(F.col(key).alias("key"), chunk.alias("chunk"), F.col(time).alias("at"))
-        .agg(F.bit_or(bit).alias("stages"))
-    )
+
+    def walk(stage: int, reached: list[Column]) -> Column:
+        if stage == len(times):
+            return F.array(*reached)
+        later = F.filter(times[stage], lambda at: at >= reached[-1]) if reached else times[stage]
+        return _let(F.array_min(later), lambda at: walk(stage + 1, [*reached, at]))
+
+    return F.concat(*[walk(entry, []) for entry in range(len(times))])
 
 
-def _possible_picks(moments: DataFrame, n: int) -> DataFrame:
-    """Drop the stage occurrences of each time chunk that no funnel walk can pick.
+def _continued(so_far: Column, table: Column, n: int, entry: int = 0) -> list[Column]:
+    """Times by stage of a walk, given by what it reached and the table of what comes after.
 
-    A walk enters a chunk with some number of stages already done and then moves greedily.
-    For each entry state the picks inside the chunk are known from the chunk alone, so at
-    most n(n+1)/2 occurrences per chunk matter, however many the chunk holds. This bounds
-    what the per-session step sees by the session's length in time, not by its events.
+    so_far: from the entry stage on, as places of an array that `at` reads.
     """
-    window = W.partitionBy("key", "chunk")
-    for hop in range(n):
-        moments = moments.select(
-            "*",
-            *[
-                _earliest(entry + hop, F.col(f"from{entry}_to{entry + hop - 1}") if hop else None, window).alias(
-                    f"from{entry}_to{entry + hop}"
-                )
-                for entry in range(n - hop)
-            ],
-        )
-    kept = F.lit(0)
-    for stage in range(n):
-        picked = F.lit(False)
-        for entry in range(stage + 1):
-            picked = picked | F.coalesce(F.col("at") == F.col(f"from{entry}_to{stage}"), F.lit(False))
-        kept = kept.bitwiseOR(F.when(picked, F.col("stages").bitwiseAND(1 << stage)).otherwise(0))
-    return moments.select("key", "at", kept.alias("stages")).where("stages != 0")
+    place = _places(n)
+    first = place[entry, entry]
+
+    def reached(stage: int) -> Column:
+        return F.get(so_far, F.lit(first + stage - entry))
+
+    def next_time(stage: int) -> Column:
+        # Where the walk stopped: the first stage without a time, at the latest this one.
+        found = F.get(table, F.lit(place[stage, stage]))
+        for stop in range(stage - 1, entry - 1, -1):
+            found = F.when(reached(stop).isNull(), F.get(table, F.lit(place[stop, stage]))).otherwise(found)
+        return F.coalesce(reached(stage), found)
+
+    return [next_time(stage) for stage in range(entry, n)]
+
+
+def _composed(first: Column, second: Column, n: int) -> Column:
+    """The transfer table of two chunks, one after the other. Associative; all NULL is neutral."""
+    return F.array(*[at for entry in range(n) for at in _continued(first, second, n, entry)])
+
+
+def _folded(tables: Column, n: int, whole: bool) -> Column:
+    """Tables in the order of their chunks, composed; for a `whole` session only the walk from no stage done."""
+    size = n if whole else n * (n + 1) // 2
+    nothing = F.array(*[F.lit(None).cast("long")] * size)
+    step = (lambda a, b: F.array(*_continued(a, b["table"], n))) if whole else (lambda a, b: _composed(a, b["table"], n))
+    one = F.get(tables, F.lit(0))["table"]
+    one = F.slice(one, 1, n) if whole else one
+    return F.when(F.size(tables) == 1, one).otherwise(F.aggregate(F.array_sort(tables), nothing, step))
+
+
+def transfer_tables(
+    events: DataFrame,
+    stages: Sequence[str] = STAGES,
+    key: str = "session_id",
+    time: str = "event_timestamp",
+    name: str = "event_name",
+    chunk_seconds: float = 1.0,
+) -> DataFrame:
+    """One row per key and chunk of time: key, chunk, and the chunk's transfer table.
+
+    The table says, for each number of stages already done, when a walk through the chunk reaches
+    which stages (microseconds). It is of fixed size and composes with the tables of later chunks, so the
+    events themselves are shuffled once, and copies of an event vanish before that.
+    """
+    at = F.unix_micros(F.col(time))
+    chunk = F.floor(at / F.lit(int(chunk_seconds * 1_000_000)))
+    times = [F.collect_set(F.when(F.col(name) == stage, F.col("at"))) for stage in stages]
+    return (
+        events.where(F.col(key).isNotNull() & F.col(name).isin(*stages) & F.col(time).isNotNull())
+        .select(F.col(key).alias("key"), chunk.alias("chunk"), at.alias("at"), F.col(name))
+        .groupBy("key", "chunk")
+        .agg(_table_of(times).alias("table"))
+    )
 
 
 def sequential_funnel(
@@ -84,36 +117,35 @@ def sequential_funnel(
     key: str = "session_id",
     time: str = "event_timestamp",
     name: str = "event_name",
-    chunk_seconds: int = 600,
+    chunk_seconds: float = 1.0,
+    chunks_per_span: int = 4096,
 ) -> DataFrame:
     """Per session: the earliest first stage, then each next stage's earliest event not before it.
 
     Equal times count as ordered. Sessions that never reach the first stage have no row.
     Output: key, then `sequential_<stage>_at` per stage.
 
-    Windows over whole sessions would put one huge session into one task. Instead the
-    session's time line is cut into chunks, spread over the cluster, and each chunk keeps
-    only its possible picks; the second step then walks those few rows per session.
+    The chunks' transfer tables meet at their session and are composed in the order of time, first
+    within spans of so many chunks, then the spans. No group grows with a session's events: a chunk
+    of a second has at most a million moments, a span its number of chunks, and a session the spans that it
+    lasts. A busy session's events are spread over the cluster by second.
     """
     n = len(stages)
     if n == 0 or len(set(stages)) < n:
         raise ValueError("stages must be given and differ from each other")
-    picks = _possible_picks(_moments(events, stages, key, time, chunk_seconds, name), n)
-    window = W.partitionBy("key")
-    for stage in range(n - 1):
-        earlier = F.col(f"stage{stage - 1}") if stage else None
-        picks = picks.select("*", _earliest(stage, earlier, window).alias(f"stage{stage}"))
-    last = F.col("stages").bitwiseAND(1 << (n - 1)) != 0
-    if n > 1:
-        last = last & (F.col("at") >= F.col(f"stage{n - 2}"))
-    reached = [F.max(f"stage{stage}") for stage in range(n - 1)] + [F.min(F.when(last, F.col("at")))]
-    columns = [f"sequential_{stage}_at" for stage in stages]
-    return (
-        picks.groupBy("key")
-        .agg(*[r.alias(c) for r, c in zip(reached, columns)])
-        .where(F.col(columns[0]).isNotNull())
-        .withColumnRenamed("key", key)
+    tables = transfer_tables(events, stages, key, time, name, chunk_seconds)
+    # Hashed by session, the tables stay where they are for both groupings.
+    entry = F.struct("chunk", "table")
+    spans = (
+        tables.repartition("key")
+        .groupBy("key", F.floor(F.col("chunk") / F.lit(chunks_per_span)).alias("span"))
+        .agg(_folded(F.collect_list(entry), n, whole=False).alias("table"))
+        .withColumnRenamed("span", "chunk")
     )
+    # The fold is part of the aggregation, so no filter or later column works it out again.
+    walks = spans.groupBy("key").agg(_folded(F.collect_list(entry), n, whole=True).alias("walk"))
+    reached = [F.timestamp_micros(F.get("walk", F.lit(i))).alias(f"sequential_{stage}_at") for i, stage in enumerate(stages)]
+    return walks.where(F.get("walk", F.lit(0)).isNotNull()).select(F.col("key").alias(key), *reached)
 
 
 def session_funnel(sessions: DataFrame, funnel: DataFrame) -> DataFrame:

@@ -41,15 +41,19 @@ def test_no_cross_join_and_no_python(tables, no_broadcast):
 
 
 def test_session_side_joins_add_no_shuffle(tables, no_broadcast):
-    # The sessions table 1, funnel 3; nothing more for the join.
-    assert len(hash_exchanges(tables.plan("session_funnel"))) == 4
+    # The sessions table 1, funnel 2; nothing more for the join.
+    assert len(hash_exchanges(tables.plan("session_funnel"))) == 3
     # Rollup 1, session orders 2; nothing for their join.
     assert len(hash_exchanges(tables.plan("sessions"))) == 3
 
 
-def test_funnel_shuffles_by_moment_then_chunk_then_session(tables, no_broadcast):
+def test_funnel_shuffles_events_once_then_tables_by_session(tables, no_broadcast):
+    plan = physical(tables.plan("sequential_funnel"))
     keys = hash_exchanges(tables.plan("sequential_funnel"))
-    assert sorted(k.count("#") for k in keys) == [1, 2, 3]
+    assert sorted(k.count("#") for k in keys) == [1, 2]
+    assert plan.count("Exchange") == 2 and plan.count("FileScan") == 1 and "Window" not in plan and "Sort" not in plan
+    # Events meet their copies before the shuffle.
+    assert "partial_collect_set" in plan
 
 
 def test_item_rows_are_shuffled_by_transaction_and_event(tables, no_broadcast):

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from eventloom.operators.funnel import STAGES, sequential_funnel, session_funnel
+from eventloom.operators.funnel import STAGES, _composed, sequential_funnel, session_funnel, transfer_tables
 from eventloom.operators.sessions import session_orders, sessions
 from tests.conftest import by, event, only
 
@@ -142,25 +142,49 @@ def test_funnel_equals_brute_force(spark, chunk_seconds, n_stages):
     assert found == expected
 
 
-def test_hot_session_shrinks_before_the_session_step(spark):
-    """A third of all rows in one session: copies vanish, and each chunk keeps ten picks at most."""
-    from eventloom.operators.funnel import _moments, _possible_picks
-
+def test_hot_session_is_spread_over_chunks(spark):
+    """A third of all rows in one session, at distinct microseconds of one minute: a chunk is a second of them."""
     names = F.element_at(F.array(*[F.lit(s) for s in STAGES]), (F.col("id") % 4 + 1).cast("int"))
     hot = spark.range(30_000).select(
-        F.lit("hot").alias("session_id"), names.alias("event_name"), F.timestamp_seconds(F.col("id") % 3600).alias("event_timestamp")
+        F.lit("hot").alias("session_id"), names.alias("event_name"), F.timestamp_micros(F.col("id") * 2000 + F.col("id") % 7).alias("event_timestamp")
     )
     rest = spark.range(60_000).select(
         F.concat(F.lit("s"), (F.col("id") % 20_000).cast("string")).alias("session_id"),
         names.alias("event_name"),
         F.timestamp_seconds("id").alias("event_timestamp"),
     )
-    events = hot.unionByName(rest)
-    moments = _moments(events, STAGES, "session_id", "event_timestamp", 600)
-    assert moments.where("key = 'hot'").count() == 3600
-    assert _possible_picks(moments, 4).where("key = 'hot'").count() <= 6 * 10
-    row = only(sequential_funnel(events).where("session_id = 'hot'"))
-    assert [row[f"sequential_{s}_at"].second for s in STAGES] == [0, 1, 2, 3]
+    events = hot.unionByName(rest).unionByName(hot)
+    tables = transfer_tables(events).where("key = 'hot'").collect()
+    assert len(tables) == 60 and {len(t.table) for t in tables} == {10}
+    row = only(sequential_funnel(events).where("session_id = 'hot'").select(*[F.unix_micros(f"sequential_{s}_at") for s in STAGES]))
+    assert list(row) == [k * 2000 + k for k in range(4)]
+
+
+def test_transfer_tables_compose_in_any_grouping(spark):
+    rng = random.Random(8)
+    rows = [("k", rng.choice("abc"), rng.randrange(40)) for _ in range(40)]
+    df = spark.createDataFrame(rows, "k string, event_name string, second long").select("k", "event_name", F.timestamp_seconds("second").alias("at"))
+    whole = only(transfer_tables(df, "abc", "k", "at", chunk_seconds=1000)).table
+    parts = [r.table for r in transfer_tables(df, "abc", "k", "at", chunk_seconds=10).orderBy("chunk").collect()]
+    assert len(parts) == 4
+    table = lambda values: F.array(*[F.lit(v).cast("long") for v in values])
+    left, right, nothing = table(parts[0]), table(parts[3]), table([None] * 6)
+    for part in parts[1:]:
+        left = _composed(left, table(part), 3)
+    for part in parts[2::-1]:
+        right = _composed(table(part), right, 3)
+    for found in (left, right, _composed(nothing, left, 3), _composed(left, nothing, 3)):
+        assert spark.range(1).select(found).first()[0] == whole
+
+
+@pytest.mark.parametrize("chunks_per_span", [1, 3])
+def test_spans_do_not_change_the_funnel(spark, chunks_per_span):
+    rng = random.Random(9)
+    rows = [(f"k{rng.randrange(5)}", rng.choice("abcd"), rng.randrange(-100, 100)) for _ in range(300)]
+    df = spark.createDataFrame(rows, "k string, event_name string, second long").select("k", "event_name", F.timestamp_seconds("second").alias("at"))
+    found = sequential_funnel(df, "abcd", "k", "at", chunks_per_span=chunks_per_span)
+    found = {r[0]: list(r[1:]) for r in found.select("k", *[F.unix_seconds(f"sequential_{s}_at") for s in "abcd"]).collect()}
+    assert found == {k: greedy([(s, t) for key, s, t in rows if key == k], "abcd") for k in {r[0] for r in rows}}
 
 
 def test_stages_must_differ(events_of):
