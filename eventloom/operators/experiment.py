@@ -158,6 +158,13 @@ def assign_variants(
     return df.withColumn("variant", F.when(draw < limit, CONTROL).when(draw >= limit, TREATMENT))
 
 
+def experiment_sessions(funnel: DataFrame, dimension: str = "device_category", **assignment) -> DataFrame:
+    """The sessions of the target segment with their variants, in the columns that the evaluation reads."""
+    mine = funnel.where(known(dimension) == target_segment(funnel, dimension))
+    columns = ["session_id", "user_pseudo_id", "session_date", "began_checkout", "purchased", known(dimension).alias("segment")]
+    return assign_variants(mine.select(*columns), **assignment)
+
+
 def variant_counts(assigned: DataFrame, eligible: str = "began_checkout", success: str = "purchased") -> DataFrame:
     """One row: eligible sessions and conversions of both variants, rates and lifts.
 
@@ -247,21 +254,107 @@ def wald_difference(counts: DataFrame, confidence: float = CONFIDENCE) -> DataFr
     )
 
 
+def user_sums(
+    assigned: DataFrame, unit: str = "user_pseudo_id", eligible: str = "began_checkout", success: str = "purchased"
+) -> DataFrame:
+    """One row: for both variants the sums over units that the test of a ratio needs.
+
+    n and x are a unit's eligible sessions and conversions; sums of whole numbers are exact, so
+    they merge in any order. A unit with very many sessions is one row after the map-side combine.
+    """
+    per_unit = (
+        assigned.where(F.col(unit).isNotNull() & F.col(eligible))
+        .groupBy(unit)
+        .agg(F.min("variant").alias("variant"), F.count("*").alias("n"), F.count_if(success).alias("x"))
+    )
+    sums = {"sessions": F.col("n"), "conversions": F.col("x"), "nn": F.col("n") * F.col("n"), "xx": F.col("x") * F.col("x"), "xn": F.col("x") * F.col("n")}
+    totals = []
+    for variant in (CONTROL, TREATMENT):
+        here = F.col("variant") == variant
+        totals.append(F.count_if(here).alias(f"{variant}_units"))
+        totals += [or_zero(F.sum(F.when(here, value))).alias(f"{variant}_{name}") for name, value in sums.items()]
+    return per_unit.agg(*totals)
+
+
+def user_ratio_test(
+    sums: DataFrame, alpha: float = ALPHA, alternative: str = "larger", confidence: float = CONFIDENCE
+) -> DataFrame:
+    """Test and interval of the difference in conversion where users, not sessions, are independent.
+
+    The rate is a ratio of two sums over users, whose variance the delta method gives from what each
+    user's conversions differ from the rate times their sessions. The test takes the common rate for both
+    variants, the interval each variant's own. With one session a user both equal the tests of sessions;
+    `design_effect` is how much larger the variance is than if sessions were independent.
+    """
+    if alternative not in ALTERNATIVES:
+        raise ValueError(f"alternative is one of {', '.join(ALTERNATIVES)}")
+
+    def both(name: str) -> Column:
+        return F.col(f"{CONTROL}_{name}") + F.col(f"{TREATMENT}_{name}")
+
+    def squares(xx: Column, xn: Column, nn: Column, rate: Column) -> Column:
+        """Sum of (x - rate n)^2 over users."""
+        return F.greatest(xx - 2 * rate * xn + rate * rate * nn, F.lit(0.0))
+
+    pooled, statistic = F.col("pooled_rate"), F.col("z_statistic")
+    spread = ratio(squares(both("xx"), both("xn"), both("nn"), pooled), both("units"))
+    per_session = F.lit(0.0)
+    own = F.lit(0.0)
+    for v in (CONTROL, TREATMENT):
+        n = F.col(f"{v}_sessions")
+        per_session = per_session + ratio(F.col(f"{v}_units"), n.cast("double") * n)
+        own = own + ratio(squares(*[F.col(f"{v}_{name}") for name in ("xx", "xn", "nn")], F.col(f"{v}_rate")), n.cast("double") * n)
+    independent = pooled * (1 - pooled) * (ratio(F.lit(1), f"{CONTROL}_sessions") + ratio(F.lit(1), f"{TREATMENT}_sessions"))
+    extreme = {"larger": statistic, "smaller": -statistic, "two-sided": F.abs(statistic)}[alternative]
+    sides = 2 if alternative == "two-sided" else 1
+    margin = F.sqrt(own) * quantile(0.5 + confidence / 2)
+    counts = [f"{v}_{name}" for v in (CONTROL, TREATMENT) for name in ("units", "sessions", "conversions")]
+    rates = ["control_rate", "treatment_rate", "absolute_lift", "relative_lift"]
+    return (
+        with_rates(sums)
+        .select("*", ratio(both("conversions"), both("sessions")).alias("pooled_rate"))
+        .select("*", F.sqrt(spread * per_session).alias("standard_error"))
+        .select(
+            "*",
+            ratio("absolute_lift", "standard_error").alias("z_statistic"),
+            ratio(F.col("standard_error") * F.col("standard_error"), independent).alias("design_effect"),
+        )
+        .select(
+            *counts,
+            *rates,
+            "pooled_rate",
+            "standard_error",
+            "z_statistic",
+            "design_effect",
+            (upper_tail(extreme) * sides).alias("p_value"),
+            F.coalesce(extreme > quantile(1 - alpha / sides), F.lit(False)).alias("is_significant"),
+            (F.col("absolute_lift") - margin).alias("difference_low"),
+            (F.col("absolute_lift") + margin).alias("difference_high"),
+        )
+    )
+
+
 def modeled_impact(counts: DataFrame, order_value: Column | float) -> DataFrame:
     """Conversions beyond what control's rate gives on treatment's sessions, and their revenue."""
     extra = F.col("treatment_conversions") - F.col("treatment_sessions") * F.col("control_rate")
     value = F.lit(float(order_value)) if isinstance(order_value, (int, float)) else order_value
-    return counts.select(
+    # The order value may be a subquery, so it is named once.
+    return counts.select("*", value.alias("average_order_value_usd")).select(
         "control_sessions",
         "control_conversions",
         "treatment_sessions",
         "treatment_conversions",
-        value.alias("average_order_value_usd"),
+        "average_order_value_usd",
         extra.alias("incremental_conversions"),
-        (extra * value).alias("incremental_revenue_usd"),
+        (extra * F.col("average_order_value_usd")).alias("incremental_revenue_usd"),
     )
 
 
+def tested_segment(assigned: DataFrame) -> Column:
+    """The segment of `experiment_sessions`, as a scalar."""
+    return assigned.agg(F.min("segment")).scalar()
+
+
 def average_order_value(segments: DataFrame, dimension: str, segment: Column | str) -> Column:
     """Revenue per order of one segment, as a scalar for `modeled_impact`."""
     mine = segments.where(F.col(dimension) == segment)

@@ -7,7 +7,7 @@ from collections.abc import Collection, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.operators import cohorts, daily, funnel, orders, products, sessions, staging, users
+from eventloom.operators import cohorts, daily, experiment, funnel, orders, products, sessions, staging, users
 from eventloom.sources.raw import Layout, replace_table
 
 # Datasets written as tables. The staged rows arrive by day, because the raw files are split
@@ -29,6 +29,8 @@ TABLES = {
     "product_opportunity": Layout(),
     "customer_summary": Layout(),
     "cohort_retention": Layout(),
+    # The target is chosen once, for all that evaluates the experiment.
+    "experiment_sessions": Layout(),
 }
 # Staged rows are as many as the raw ones, so they are views unless asked for as tables.
 DEFAULT_TABLES = tuple(name for name in TABLES if not name.startswith("stg_"))
@@ -77,6 +79,7 @@ class Catalog(Mapping[str, DataFrame]):
             "customer_summary": lambda: users.customer_summary(self["users"]),
             "weekly_activity": lambda: cohorts.weekly_activity(self["sessions"]),
             "cohort_retention": lambda: cohorts.cohort_retention(self["sessions"], self["users"]),
+            "experiment_sessions": lambda: experiment.experiment_sessions(self["session_funnel"]),
         }
 
     def plan(self, name: str) -> DataFrame:

@@ -1,7 +1,9 @@
 """Experiment arithmetic against the published figures, and the safety checks."""
 
 import math
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -205,3 +207,61 @@ def test_rollout_needs_every_condition(spark):
         placed(spark, good.where("variant = 'treatment'"), revenue=1.0)
     )
     assert failing(good, cheap) == ["guardrails_acceptable"]
+
+
+def assigned_of(spark, rows):
+    """rows: user, variant, began_checkout, purchased."""
+    return spark.createDataFrame(rows, "user_pseudo_id string, variant string, began_checkout boolean, purchased boolean")
+
+
+def test_users_with_one_session_give_the_plain_test(spark):
+    rng = random.Random(1)
+    rows = [(f"u{i}", rng.choice(["control", "treatment"]), i % 9 > 0, rng.random() < 0.4) for i in range(500)]
+    assigned = assigned_of(spark, rows)
+    plain = only(x.wald_difference(x.two_proportion_ztest(x.variant_counts(assigned))))
+    found = only(x.user_ratio_test(x.user_sums(assigned)))
+    for name in ("control_sessions", "treatment_conversions", "pooled_rate", "standard_error", "z_statistic", "p_value", "difference_low", "difference_high"):
+        assert found[name] == pytest.approx(plain[name], abs=1e-9), name
+    assert found.design_effect == pytest.approx(1) and found.control_units == found.control_sessions
+
+
+def clustered(rng, users=300):
+    """Users of one to nine sessions, who convert in most of theirs or in few."""
+    rows = []
+    for i in range(users):
+        variant, rate = rng.choice(["control", "treatment"]), rng.choice([0.05, 0.9])
+        rows += [(f"u{i}", variant, True, rng.random() < rate) for _ in range(rng.randint(1, 9))]
+    return rows
+
+
+def test_user_variance_equals_the_bootstrap(spark):
+    rows = clustered(random.Random(3))
+    found = only(x.user_ratio_test(x.user_sums(assigned_of(spark, rows))))
+    plain = only(x.two_proportion_ztest(x.variant_counts(assigned_of(spark, rows))))
+    sums = {}
+    for user, variant, _, bought in rows:
+        n, k = sums.get((variant, user), (0, 0))
+        sums[variant, user] = n + 1, k + bought
+    by_variant = {v: np.array([s for (w, _), s in sums.items() if w == v], float) for v in ("control", "treatment")}
+    rng = np.random.default_rng(5)
+    drawn = {}
+    for v, own in by_variant.items():
+        picks = rng.integers(0, len(own), (4000, len(own)))
+        n, k = own[picks].sum(axis=1).T
+        drawn[v] = k / n
+    difference = drawn["treatment"] - drawn["control"]
+    width = (found.difference_high - found.difference_low) / 2 / 1.959964
+    assert width == pytest.approx(difference.std(), rel=0.06)
+    # Counting sessions as independent would claim too much.
+    assert found.design_effect > 2 and found.standard_error > 1.4 * plain.standard_error
+    assert found.absolute_lift == pytest.approx(plain.absolute_lift)
+
+
+def test_user_test_of_nothing_and_of_directions(spark):
+    empty = only(x.user_ratio_test(x.user_sums(assigned_of(spark, []))))
+    assert (empty.control_sessions, empty.z_statistic, empty.is_significant) == (0, None, False)
+    sums = x.user_sums(assigned_of(spark, [*clustered(random.Random(4)), (None, "control", True, True), ("z", "control", False, True)]))
+    p = {a: only(x.user_ratio_test(sums, alternative=a)).p_value for a in x.ALTERNATIVES}
+    assert p["larger"] + p["smaller"] == pytest.approx(1) and p["two-sided"] == pytest.approx(2 * min(p["larger"], p["smaller"]))
+    with pytest.raises(ValueError):
+        x.user_ratio_test(sums, alternative="other")

@@ -166,3 +166,14 @@ def test_folders_of_one_name_and_changed_files_are_told_apart(spark, tmp_path):
     count = lambda folder: entry.queries()["stg_events"](spark, folder).count()
     assert [count(b), count(a), count(b)] == [30, 20, 30]
     assert count(events("a/x", 10)) == 10
+
+
+def test_experiment_reads_one_assigned_table(tables, no_broadcast):
+    """The target is chosen when that table is written; no query chooses it again."""
+    scans = {}
+    for name in ("variant_summary", "ab_ztest", "user_ratio_test", "modeled_impact", "guardrails", "srm_check", "rollout_decision"):
+        plan = physical(entry.EXPERIMENTS[name](tables))
+        assert plan.count("session_funnel") == 0, name
+        scans[name] = plan.count("FileScan")
+    assert {scans[n] for n in ("variant_summary", "ab_ztest", "user_ratio_test", "srm_check")} == {1}
+    assert scans["guardrails"] == 2 and (scans["modeled_impact"], scans["rollout_decision"]) <= (4, 8), scans
