@@ -1,4 +1,8 @@
-"""Data checks. Each generic or named check is a DataFrame of failing rows; none means pass."""
+"""Data checks. Each generic or named check is a DataFrame of failing rows; none means pass.
+
+Checks that look at one row at a time (not null, accepted values, signs and orders within a row) are
+counted by the write of a table, as `measures` says; reports over such a table scan nothing for them.
+"""
 
 from __future__ import annotations
 
@@ -264,33 +268,63 @@ def _count(name: str, failing: DataFrame, weight: Column | None = None) -> DataF
     return failing.agg(F.lit(name).alias("check_name"), failures.alias("failing_rows"))
 
 
+def measures(dataset: str) -> dict[str, Column]:
+    """Aggregates by name: the rows of a dataset that fail each check of single rows."""
+    wanted = GENERIC_CHECKS.get(dataset, {})
+    found = {f"not_null:{c}": F.col(c).isNull() for c in wanted.get("not_null", [])}
+    for c, values in wanted.get("accepted", {}).items():
+        found[f"accepted:{c}"] = ~F.col(c).isin(*values)
+    for name, (of, failing) in ROW_CHECKS.items():
+        if of == dataset:
+            found[f"named:{name}"] = failing()
+    return {name: F.count_if(failing) for name, failing in found.items()}
+
+
+def measured(tables: Tables, dataset: str) -> dict[str, int]:
+    """What was counted when the dataset was written; nothing for tables that were not written so."""
+    look = getattr(tables, "measured", None)
+    return (look(dataset) or {}) if look else {}
+
+
+def _counted(df: DataFrame, rows: list[tuple[str, int]]) -> DataFrame:
+    return df.sparkSession.createDataFrame(rows, "check_name string, failing_rows long")
+
+
 def generic_report(tables: Tables, dataset: str) -> DataFrame:
     """Every generic check of one dataset with its number of failures.
 
-    All not-null checks share one scan; the others read one column each.
+    Of a written table, not-null checks and values that are all accepted were counted by the write.
+    Otherwise all not-null checks share one scan; the others read one column each.
     """
     df, wanted = tables[dataset], GENERIC_CHECKS[dataset]
-    nulls = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in wanted["not_null"]]).select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(f"{dataset}.{c}.not_null").alias("check_name"), F.col(c).alias("failing_rows"))
-                    for c in wanted["not_null"]
-                ]
-            )
-        )
-    )
-    parts = [nulls]
+    known = measured(tables, dataset)
+    counted, parts = [], []
+    if all(f"not_null:{c}" in known for c in wanted["not_null"]):
+        counted += [(f"{dataset}.{c}.not_null", known[f"not_null:{c}"]) for c in wanted["not_null"]]
+    else:
+        parts.append(_nulls(df, dataset, wanted["not_null"]))
     for c in wanted.get("unique", []):
         parts.append(_count(f"{dataset}.{c}.unique", duplicate_values(df, c)))
     for c, values in wanted.get("accepted", {}).items():
-        parts.append(_count(f"{dataset}.{c}.accepted_values", unaccepted_values(df, c, values)))
+        if known.get(f"accepted:{c}") == 0:
+            counted.append((f"{dataset}.{c}.accepted_values", 0))
+        else:
+            # Rows were counted, but different values are asked for.
+            parts.append(_count(f"{dataset}.{c}.accepted_values", unaccepted_values(df, c, values)))
     for c, (parent, parent_column) in wanted.get("relationships", {}).items():
         orphans = orphan_values(df, c, tables[parent], parent_column)
         parts.append(_count(f"{dataset}.{c}.relationships", orphans, F.col("row_count")))
+    if counted:
+        parts.insert(0, _counted(df, counted))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _nulls(df: DataFrame, dataset: str, columns: Sequence[str]) -> DataFrame:
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    names = [F.struct(F.lit(f"{dataset}.{c}.not_null").alias("check_name"), F.col(c).alias("failing_rows")) for c in columns]
+    return counts.select(F.inline(F.array(*names)))
+
+
 # --- named checks ----------------------------------------------------------------------
 
 
@@ -302,12 +336,81 @@ def _negative(*columns: str) -> Column:
     return _any(*[F.col(c) < 0 for c in columns])
 
 
-def order_items_nonnegative(t: Tables) -> DataFrame:
-    return t["order_items"].where(_negative("quantity", "item_price_usd", "line_revenue_usd"))
+# Checks of single rows: the dataset, and when one of its rows fails.
+
+
+def _funnel_disordered() -> Column:
+    stages = [f"sequential_{s}_at" for s in ("view_item", "add_to_cart", "begin_checkout", "purchase")]
+    broken = [
+        F.col(later).isNotNull() & (F.col(earlier).isNull() | (F.col(later) < F.col(earlier)))
+        for earlier, later in zip(stages, stages[1:])
+    ]
+    spans = ["view_to_cart", "cart_to_checkout", "checkout_to_purchase", "view_to_purchase"]
+    return _any(*broken, _negative(*[f"seconds_{s}" for s in spans]))
+
+
+def _user_invalid() -> Column:
+    return _any(
+        F.col("last_seen_date") < F.col("first_seen_date"),
+        F.col("session_count") <= 0,
+        F.col("observed_user_span_days") <= 0,
+        _negative("order_count", "lifetime_revenue_usd", "units_purchased", "recency_days_at_dataset_end"),
+    )
+
+
+def _cohort_invalid() -> Column:
+    first_week = F.col("cohort_age_weeks") == 0
+    return _any(
+        _negative("cohort_age_weeks", "active_users", "retention_rate"),
+        F.col("cohort_size") <= 0,
+        F.col("active_users") > F.col("cohort_size"),
+        F.col("retention_rate") > 1,
+        first_week & (F.col("active_users") != F.col("cohort_size")),
+        first_week & (F.abs(F.col("retention_rate") - 1.0) > 0.000001),
+    )
+
+
+ROW_CHECKS: dict[str, tuple[str, Callable[[], Column]]] = {
+    "order_items_nonnegative": ("order_items", lambda: _negative("quantity", "item_price_usd", "line_revenue_usd")),
+    "orders_nonnegative": ("orders", lambda: _negative("order_revenue_usd", "order_item_quantity")),
+    "session_funnel_timestamp_order": ("session_funnel", _funnel_disordered),
+    "sessions_valid_time": (
+        "sessions",
+        lambda: (F.col("session_end_at") < F.col("session_start_at")) | _negative("session_duration_seconds"),
+    ),
+    "users_valid_values": ("users", _user_invalid),
+    "cohorts_valid": ("cohort_retention", _cohort_invalid),
+    "product_opportunity_nonnegative": (
+        "product_opportunity",
+        lambda: _negative(
+            "view_item_sessions",
+            "add_to_cart_sessions",
+            "order_count",
+            "units_purchased",
+            "product_revenue_usd",
+            "conversion_gap_to_category",
+            "modeled_additional_orders_full_gap",
+            "modeled_revenue_opportunity_full_gap_usd",
+        ),
+    ),
+    "product_performance_nonnegative": (
+        "product_performance",
+        lambda: _negative(
+            "view_item_events",
+            "view_item_sessions",
+            "add_to_cart_events",
+            "add_to_cart_sessions",
+            "order_count",
+            "units_purchased",
+            "product_revenue_usd",
+        ),
+    ),
+}
 
 
-def orders_nonnegative(t: Tables) -> DataFrame:
-    return t["orders"].where(_negative("order_revenue_usd", "order_item_quantity"))
+def _rows_failing(name: str) -> Callable[[Tables], DataFrame]:
+    dataset, failing = ROW_CHECKS[name]
+    return lambda t: t[dataset].where(failing())
 
 
 def _unequal_totals(left: DataFrame, right: DataFrame, exact: list[Column], money: list[Column]) -> DataFrame:
@@ -335,47 +438,6 @@ def session_funnel_row_count(t: Tables) -> DataFrame:
     return _unequal_totals(t["session_funnel"], named, [F.count("*")], [])
 
 
-def session_funnel_timestamp_order(t: Tables) -> DataFrame:
-    stages = [f"sequential_{s}_at" for s in ("view_item", "add_to_cart", "begin_checkout", "purchase")]
-    broken = [
-        F.col(later).isNotNull() & (F.col(earlier).isNull() | (F.col(later) < F.col(earlier)))
-        for earlier, later in zip(stages, stages[1:])
-    ]
-    spans = ["view_to_cart", "cart_to_checkout", "checkout_to_purchase", "view_to_purchase"]
-    return t["session_funnel"].where(_any(*broken, _negative(*[f"seconds_{s}" for s in spans])))
-
-
-def sessions_valid_time(t: Tables) -> DataFrame:
-    return t["sessions"].where(
-        (F.col("session_end_at") < F.col("session_start_at")) | _negative("session_duration_seconds")
-    )
-
-
-def users_valid_values(t: Tables) -> DataFrame:
-    return t["users"].where(
-        _any(
-            F.col("last_seen_date") < F.col("first_seen_date"),
-            F.col("session_count") <= 0,
-            F.col("observed_user_span_days") <= 0,
-            _negative("order_count", "lifetime_revenue_usd", "units_purchased", "recency_days_at_dataset_end"),
-        )
-    )
-
-
-def cohorts_valid(t: Tables) -> DataFrame:
-    first_week = F.col("cohort_age_weeks") == 0
-    return t["cohort_retention"].where(
-        _any(
-            _negative("cohort_age_weeks", "active_users", "retention_rate"),
-            F.col("cohort_size") <= 0,
-            F.col("active_users") > F.col("cohort_size"),
-            F.col("retention_rate") > 1,
-            first_week & (F.col("active_users") != F.col("cohort_size")),
-            first_week & (F.abs(F.col("retention_rate") - 1.0) > 0.000001),
-        )
-    )
-
-
 def customer_summary_reconciles(t: Tables) -> DataFrame:
     return _unequal_totals(
         t["customer_summary"],
@@ -428,21 +490,6 @@ def funnel_daily_sequential_monotonic(t: Tables) -> DataFrame:
     )
 
 
-def product_opportunity_nonnegative(t: Tables) -> DataFrame:
-    return t["product_opportunity"].where(
-        _negative(
-            "view_item_sessions",
-            "add_to_cart_sessions",
-            "order_count",
-            "units_purchased",
-            "product_revenue_usd",
-            "conversion_gap_to_category",
-            "modeled_additional_orders_full_gap",
-            "modeled_revenue_opportunity_full_gap_usd",
-        )
-    )
-
-
 def product_opportunity_reconciles(t: Tables) -> DataFrame:
     counts = ["view_item_sessions", "add_to_cart_sessions", "order_count", "units_purchased"]
     return _unequal_totals(
@@ -453,41 +500,26 @@ def product_opportunity_reconciles(t: Tables) -> DataFrame:
     )
 
 
-def product_performance_nonnegative(t: Tables) -> DataFrame:
-    return t["product_performance"].where(
-        _negative(
-            "view_item_events",
-            "view_item_sessions",
-            "add_to_cart_events",
-            "add_to_cart_sessions",
-            "order_count",
-            "units_purchased",
-            "product_revenue_usd",
-        )
-    )
-
-
 NAMED_CHECKS: dict[str, Callable[[Tables], DataFrame]] = {
-    check.__name__: check
-    for check in (
-        order_items_nonnegative,
-        orders_nonnegative,
-        session_funnel_row_count,
-        session_funnel_timestamp_order,
-        sessions_valid_time,
-        users_valid_values,
-        cohorts_valid,
-        customer_summary_reconciles,
-        executive_daily_reconciles,
-        funnel_daily_sequential_monotonic,
-        funnel_segment_reconciles,
-        product_opportunity_nonnegative,
-        product_opportunity_reconciles,
-        product_performance_nonnegative,
-    )
+    **{name: _rows_failing(name) for name in ROW_CHECKS},
+    **{
+        check.__name__: check
+        for check in (
+            session_funnel_row_count,
+            customer_summary_reconciles,
+            executive_daily_reconciles,
+            funnel_daily_sequential_monotonic,
+            funnel_segment_reconciles,
+            product_opportunity_reconciles,
+        )
+    },
 }
 
 
 def named_report(tables: Tables, check: str) -> DataFrame:
     """One row: the named check and its number of failing rows."""
+    if check in ROW_CHECKS:
+        dataset = ROW_CHECKS[check][0]
+        if (known := measured(tables, dataset).get(f"named:{check}")) is not None:
+            return _counted(tables[dataset], [(check, known)])
     return _count(check, NAMED_CHECKS[check](tables))

@@ -7,8 +7,9 @@ from collections.abc import Collection, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.operators import cohorts, daily, experiment, funnel, orders, products, sessions, staging, users
-from eventloom.sources.raw import Layout, replace_table
+from eventloom.operators import checks, cohorts, daily, experiment, funnel, orders, products, sessions, staging, users
+from eventloom.sources import versions
+from eventloom.sources.raw import Layout
 
 # Datasets written as tables. The staged rows arrive by day, because the raw files are split
 # by day, and are written without a shuffle; sorted by event name, a read of the purchases
@@ -42,7 +43,8 @@ class Catalog(Mapping[str, DataFrame]):
     Without a warehouse path every dataset is a lazy plan over the raw events. With one,
     each dataset of `tables` is written on first use and read back, so that what several
     datasets share is computed once and a lost executor never reaches behind the last table;
-    all others stay views.
+    all others stay views. A written table becomes current only when it is complete, and the
+    checks that look at one row at a time are counted by the write (`measured`).
     """
 
     def __init__(
@@ -94,9 +96,15 @@ class Catalog(Mapping[str, DataFrame]):
     def _build(self, name: str) -> DataFrame:
         df = self.plan(name)
         if self._warehouse is not None and name in self._tables:
-            return replace_table(df, f"{self._warehouse}/{name}", TABLES[name])
+            return versions.publish(df, f"{self._warehouse}/{name}", TABLES[name], checks.measures(name))
         return df
 
+    def measured(self, name: str) -> dict[str, int] | None:
+        """What `checks.measures` counted when the dataset was written; None for a view."""
+        if self._warehouse is None or name not in self._tables:
+            return None
+        return versions.current(self[name].sparkSession, f"{self._warehouse}/{name}").measured()
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._recipes)
 
@@ -128,9 +136,20 @@ def materialize(
     date_to: str | None = None,
     tables: Collection[str] = DEFAULT_TABLES,
 ) -> Catalog:
-    """Write the named datasets (full replacement) and return the catalog over them."""
+    """Write the named datasets (full replacement) and return the catalog over them.
+
+    A run that fails on the way leaves the tables it hasn't reached as they were.
+    """
     found = Catalog(raw, date_from, date_to, warehouse or shared_folder(raw.sparkSession, "tables"), tables)
     for name in TABLES:
         if name in found._tables:
             found[name]
     return found
+
+
+def restage(raw: DataFrame, warehouse: str, date_from: str, date_to: str, names: Collection[str] = ("stg_events", "stg_items")) -> None:
+    """Stage the inclusive `yyyyMMdd` range of days again; the tables' other days are neither read nor written."""
+    days = tuple(f"{d[:4]}-{d[4:6]}-{d[6:]}" for d in (date_from, date_to))
+    fresh = Catalog(raw, date_from, date_to)
+    for name in names:
+        versions.publish(fresh.plan(name), f"{warehouse}/{name}", TABLES[name], checks.measures(name), days)

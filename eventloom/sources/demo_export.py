@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventloom.sources.raw import Layout, read_raw_events, replace_table
+from eventloom.sources.raw import Layout, read_raw_events, write_export
 from eventloom.sources.schema import ITEM, PARAM, RAW_EVENT
 
 DAY_US = 86_400_000_000
@@ -184,5 +184,5 @@ def raw_events(events: DataFrame) -> DataFrame:
 def export(spark: SparkSession, directory: str, path: str) -> DataFrame:
     """Write the whole `events` table of a folder as a date-partitioned export and read it back."""
     raw = raw_events(spark.read.parquet(f"{directory}/events.parquet"))
-    replace_table(raw, path, Layout("event_date", "event_name", rebalance=True))
+    write_export(raw, path, Layout("event_date", "event_name", rebalance=True))
     return read_raw_events(spark, path)

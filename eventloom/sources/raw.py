@@ -43,21 +43,19 @@ class Layout:
     rebalance: bool = False
 
 
-def replace_table(df: DataFrame, path: str, layout: Layout = Layout()) -> DataFrame:
-    """Write a full replacement and read it back, which also ends the lineage.
-
-    The old files go when the write begins: a failed write leaves no table, and nobody else may read
-    it meanwhile. Where that matters, write to a new path each time and switch readers over.
-    """
-    laid_out = df
+def laid_out(df: DataFrame, layout: Layout) -> DataFrame:
+    """The rows as the writer wants them."""
     if layout.rebalance:
-        laid_out = laid_out.hint("rebalance", layout.day)
+        df = df.hint("rebalance", layout.day)
     if layout.cluster is not None:
         # The partitioned writer sorts by day anyway; this only adds the second column.
-        laid_out = laid_out.sortWithinPartitions(*filter(None, (layout.day, layout.cluster)))
-    writer = laid_out.write.mode("overwrite")
+        df = df.sortWithinPartitions(*filter(None, (layout.day, layout.cluster)))
+    return df
+
+
+def write_export(df: DataFrame, path: str, layout: Layout) -> None:
+    """Write plain files by day, as the raw export comes. `versions.publish` is for tables that are replaced."""
+    writer = laid_out(df, layout).write.mode("overwrite")
     if layout.day is not None:
         writer = writer.partitionBy(layout.day)
     writer.parquet(path)
-    back = df.sparkSession.read.schema(df.schema).parquet(path)
-    return back.select(*df.columns)

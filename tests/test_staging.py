@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from eventloom.functions.columns import clean_text, elapsed_seconds, product_key, session_key
 from eventloom.operators.staging import flatten_events, flatten_items
 from eventloom.sources import demo_export
-from eventloom.sources.raw import Layout, read_raw_events, replace_table
+from eventloom.sources.raw import Layout, read_raw_events, write_export
 from eventloom.sources.schema import RAW_EVENT
 from tests.conftest import event, micros, only
 
@@ -98,14 +98,14 @@ def test_demo_export_has_the_raw_schema_and_all_rows(spark):
 
 def test_session_id_reads_no_text_parameters(spark, raw_of, tmp_path):
     path = str(tmp_path / "raw")
-    replace_table(raw_of(event("a")), path, Layout("event_date"))
+    write_export(raw_of(event("a")), path, Layout("event_date"))
     plan = flatten_events(read_raw_events(spark, path)).select("session_id")._jdf.queryExecution().executedPlan().toString()
     assert "event_params:array<struct<key:string,value:struct<int_value:bigint>>>" in plan
 
 
 def test_date_range_prunes_partitions(spark, raw_of, tmp_path):
     path = str(tmp_path / "raw")
-    replace_table(raw_of(event("a", date="20240301"), event("b", date="20240302")), path, Layout("event_date"))
+    write_export(raw_of(event("a", date="20240301"), event("b", date="20240302")), path, Layout("event_date"))
     df = flatten_events(read_raw_events(spark, path), "20240302", "20240331")
     assert [r.event_name for r in df.collect()] == ["b"]
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -116,14 +116,5 @@ def test_date_range_prunes_partitions(spark, raw_of, tmp_path):
     assert "ReadSchema: struct<event_timestamp:bigint,event_name:string>" in plan
 
 
-def test_replace_table_replaces_and_keeps_column_order(spark, tmp_path):
-    path = str(tmp_path / "t")
-    for n in (3, 2):
-        df = spark.range(n).select(F.lit("x").alias("day"), "id")
-        back = replace_table(df, path, Layout("day", "id", rebalance=n == 3))
-    assert back.columns == ["day", "id"]
-    assert back.count() == 2
-
-
 def test_session_key(spark):
     assert only(spark.range(1).select(session_key(F.lit("u"), F.lit(3)).alias("k"))).k == "u-3"
