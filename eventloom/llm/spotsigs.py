@@ -27,7 +27,6 @@ ANCHORS = (
     " au aux avec ce ces dans de du elle en est et il je la le les ne nous ou par pas pour qu que qui se son sur un une vous"
     " al como con del el ella esta ha las lo los más no para pero por su sus y ya"
 ).split()
-LOOK = 6  # a chain's words are looked for so many words ahead
 DOCUMENTS_PER_BUCKET = 1000
 #: A table of bucket borders up to so many rows (an id and a number each) is sent to all executors.
 SENT_ROWS = 1_000_000
@@ -43,12 +42,12 @@ def with_signatures(df: DataFrame, text: str, name: str, chain: int = 2) -> Data
     common = lambda w: w.isin(ANCHORS)
 
     def spots(words: Column) -> Column:
-        # Single elements, not slices of the words: a slice copies the whole array first.
-        ahead = lambda at: F.array(*[F.get(words, at + k) for k in range(1, LOOK + 1)])
-        spot = lambda w, at: F.when(
-            common(w), F.concat(F.array(w), F.slice(F.filter(ahead(at), lambda x: x.isNotNull() & ~common(x)), 1, chain))
-        )
-        return F.filter(F.transform(words, spot), lambda s: F.size(s) > 1)
+        marked = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("at"))), lambda m: common(m["word"]))
+        # Before the k-th anchor, at i, are i - k content words; so the next ones are found by number, however far away.
+        after = lambda content, m, k: [F.get(content, m["at"] - k + j) for j in range(chain)]
+        spot = lambda content: lambda m, k: F.array_compact(F.array(m["word"], *after(content, m, k)))
+        found = _bound(F.filter(words, lambda w: ~common(w)), lambda content: F.transform(marked, spot(content)))
+        return F.filter(found, lambda s: F.size(s) > 1)
 
     def signatures(words: Column) -> Column:
         pair = lambda w, at: F.xxhash64(F.array_compact(F.array(w, F.get(words, at + 1))))

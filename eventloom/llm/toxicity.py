@@ -11,11 +11,11 @@ then trained on the posteriors (each text as both classes, weighted), sparse by
 features are the words of a text and their beginnings of five to seven letters; a text is scored by
 all its words.
 
-The label model and the classifier are fit on at most `documents` labelled texts, chosen by hash of
-their id. Scoring reads whole texts.
+The label model and the classifier are fit on at most `documents` labelled texts, those whose ids have
+the lowest hashes; label rows that are repeated count once. Scoring reads whole texts.
 
 Cases: null and empty texts get the classifier's score for no words. Labels that are null are left
-out; repeated rows count as often as they come. Without any labelled text the score is 0 for all. An
+out; texts repeated under an id count as often as they come. Without any labelled text the score is 0 for all. An
 empty table gives an empty one. Columns named like an output are replaced, all others kept.
 """
 
@@ -205,13 +205,13 @@ def train(
 
 
 def sample(labels: DataFrame, docs: DataFrame, documents: int = 5000, key: str = "doc_id", label: str = "toxic", text: str = "text") -> DataFrame:
-    """Labelled texts: labels joined with documents, some more than `documents` of them, chosen by hash of the key.
+    """Labelled texts of `documents` distinct keys and labels at most, those with the lowest hashes of the key.
 
-    What is sent to the executors is that many keys and labels, whatever the size of the tables.
+    Only those keys and labels are sent to the executors, whatever the size of the tables and however
+    often a label row is repeated.
     """
-    keys = labels.select(F.col(f"`{key}`").alias(key), F.col(f"`{label}`").alias(label)).where(F.col(label).isNotNull())
-    share = 1.2 * documents / max(1, keys.count())
-    chosen = keys.where(F.pmod(F.xxhash64(key), F.lit(1_000_003)) < share * 1_000_003)
+    keys = labels.select(F.col(f"`{key}`").alias(key), F.col(f"`{label}`").alias(label)).where(F.col(key).isNotNull() & F.col(label).isNotNull())
+    chosen = keys.distinct().orderBy(F.xxhash64(key), key, label).limit(documents)
     return docs.select(F.col(f"`{key}`").alias(key), F.col(f"`{text}`").alias(text)).join(F.broadcast(chosen), key)
 
 

@@ -2,7 +2,7 @@
 
 `build_rules` sorts rule strings by their xxhash64 into shards of Arrow files in the shared folder;
 nothing passes through the driver but one line per shard. `judge` makes, for every URL, all rule
-strings that could fit it (host suffixes by path prefixes of the lengths that rules have), probes
+strings that could fit it (host suffixes and path prefixes of the lengths that rules have), probes
 the digests of a whole batch at once and compares the stored strings, so that a digest collision
 can't decide. The longest rule that fits gives the verdict.
 
@@ -26,15 +26,16 @@ from pyspark.sql import functions as F
 from eventloom.llm.files import make_folder, open_input, open_output
 from eventloom.llm.workspace import new_folder, written
 
+RULES_PER_SHARD = 1_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 @dataclass(frozen=True)
 class RuleFiles:
-    """Shards as (lowest digest, file), ascending; the lengths that rule paths have."""
+    """Shards as (lowest digest, file), ascending; the lengths that rules have, of host and path."""
 
     shards: tuple[tuple[int, str], ...]
-    path_lengths: tuple[int, ...]
+    lengths: tuple[tuple[int, int], ...]
 
 
 def digest(text: str) -> int:
@@ -43,8 +44,12 @@ def digest(text: str) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def build_rules(rules: DataFrame, shards: int = 1, rule: str = "rule", verdict: str = "verdict") -> RuleFiles:
-    """Write the sorted digest array of rule strings (host and path, like `example.net/en/`)."""
+def build_rules(rules: DataFrame, shards: int | None = None, rule: str = "rule", verdict: str = "verdict") -> RuleFiles:
+    """Write the sorted digest array of rule strings (host and path, like `example.net/en/`).
+
+    Without a number of shards there is one for each `RULES_PER_SHARD` rows.
+    """
+    shards = shards or 1 + rules.count() // RULES_PER_SHARD
     spark = rules.sparkSession
     folder = new_folder(spark, "url-rules")
     make_folder(folder)
@@ -68,16 +73,17 @@ def build_rules(rules: DataFrame, shards: int = 1, rule: str = "rule", verdict:
         path = f"{folder}/{uuid.uuid4().hex}.arrow"
         with open_output(path) as out, pa.ipc.new_file(out, table.schema) as writer:
             writer.write_table(table)
-        lengths = {len(r) - r.index("/") for r in table["rule"].to_pylist()}
+        lengths = {(r.index("/"), len(r) - r.index("/")) for r in table["rule"].to_pylist()}
+        listed = [{"host": h, "path": p} for h, p in sorted(lengths)]
         yield pa.RecordBatch.from_pydict(
-            {"low": [table["digest"][0].as_py()], "path": [path], "lengths": [sorted(lengths)]},
-            pa.schema([("low", pa.int64()), ("path", pa.string()), ("lengths", pa.list_(pa.int32()))]),
+            {"low": [table["digest"][0].as_py()], "path": [path], "lengths": [listed]},
+            pa.schema([("low", pa.int64()), ("path", pa.string()), ("lengths", pa.list_(pa.struct([("host", pa.int32()), ("path", pa.int32())])))]),
         )
 
-    found = written(rows.mapInArrow(write, "low long, path string, lengths array<int>"), "url-shards")
-    lengths = found.select(F.explode("lengths").alias("n")).distinct().collect()
+    found = written(rows.mapInArrow(write, "low long, path string, lengths array<struct<host: int, path: int>>"), "url-shards")
+    lengths = found.select(F.inline("lengths")).distinct().collect()
     listed = sorted((r["low"], r["path"]) for r in found.select("low", "path").collect())
-    return RuleFiles(tuple(listed), tuple(sorted(r["n"] for r in lengths)))
+    return RuleFiles(tuple(listed), tuple(sorted((r["host"], r["path"]) for r in lengths)))
 
 
 class DigestArray:
@@ -129,12 +135,16 @@ def judge(pages: DataFrame, rules: RuleFiles, url: str = "url", default: str = "
     host, path = url_parts(url)
     kept = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
     parts = pages.select(*[F.col(f"`{c}`") for c in kept], host.alias("host"), path.alias("path"))
-    lengths = rules.path_lengths
+    by_host: dict[int, list[int]] = {}
+    for h, p in sorted(rules.lengths, reverse=True):
+        by_host.setdefault(h, []).append(p)
 
     def fits(host: str, path: str) -> list[str]:
-        """Longest first; of equal length, the longer host first."""
-        names = [host] + [host[i + 1 :] for i, c in enumerate(host) if c == "."]
-        found = [name + path[:n] for name in names for n in lengths if n <= len(path)]
+        """Longest first; of equal length, the longer host first. Only suffixes as long as a rule's host are made."""
+        found = []
+        for n, paths in by_host.items():
+            if n == len(host) or n < len(host) and host[len(host) - n - 1] == ".":
+                found += [host[len(host) - n :] + path[:m] for m in paths if m <= len(path)]
         return sorted(found, key=len, reverse=True)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

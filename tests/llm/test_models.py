@@ -138,6 +138,25 @@ def test_label_model_finds_good_and_doubled_voters():
     assert ((model.posterior(votes, labels) > 0.5) == true).mean() > 0.95
 
 
+def test_sample_of_labels_is_bounded_by_keys(spark):
+    labels = spark.createDataFrame([(1, 1)] * 5000 + [(i, i % 2) for i in range(300)] + [(None, 1), (7, None)], "doc_id long, toxic int")
+    docs = spark.range(300).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    found = toxicity.sample(labels, docs, documents=100).collect()
+    assert len(found) == len({(r.doc_id, r.toxic) for r in found}) == 100
+
+
+def test_sample_of_personal_data_is_bounded_whatever_is_copied(spark, documents, monkeypatch):
+    looked = []
+    monkeypatch.setattr(pii, "written", lambda df, name: looked.append(df.collect()) or spark.createDataFrame(looked[-1], df.schema))
+    hot = spark.range(3000).select(F.lit("mail a.b@example.org or 10.0.0.1 and 4111 1111 1111 1111").alias("text"))
+    texts = documents.select("text").unionByName(hot)
+    pii.train(texts, documents=100, most=150)
+    once = looked[-1]
+    assert 0 < len(once) <= 150
+    pii.train(texts.distinct(), documents=100, most=150)
+    assert sorted(map(repr, looked[-1])) == sorted(map(repr, once))
+
+
 def test_toxicity_of_awkward_rows(spark, awkward, nothing):
     assert {r.score for r in toxicity.score(awkward, None).collect()} == {0.0}
     model = toxicity.Classifier(-3.0, {"river": 4.0, "riv*": 1.0})

@@ -125,7 +125,7 @@ def spots(text):
     common, out = set(spotsigs.ANCHORS), set()
     for i, w in enumerate(words):
         if w in common:
-            ahead = [x for x in words[i + 1 : i + 1 + spotsigs.LOOK] if x not in common][:2]
+            ahead = [x for x in words[i + 1 :] if x not in common][:2]
             if ahead:
                 out.add((w, *ahead))
     return out or {tuple(words[i : i + 2]) for i in range(len(words))}
@@ -151,6 +151,16 @@ def test_fingerprints_equal_brute_force(spark, documents):
     assert not got
 
 
+def test_chains_reach_beyond_any_run_of_common_words(spark):
+    texts = ["river " + "the and of " * 40 + "stone bridge", "the " * 30, "the a river", "river the", "", "über the straße und die brücke"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    found = {r.id: r.signatures for r in spotsigs.with_signatures(rows, "text", "signatures").collect()}
+    hashed = lambda words: spark.range(1).select(F.xxhash64(F.array(*map(F.lit, words)))).first()[0]
+    for i, text in enumerate(texts):
+        assert sorted(found[i]) == sorted({hashed(s) for s in spots(text)}), text
+    assert len(found[0]) == 3
+
+
 def test_next_document_over_buckets(spark, monkeypatch):
     monkeypatch.setattr(spotsigs, "DOCUMENTS_PER_BUCKET", 2)
     ids = [3, 5, 9, 10, 11, 500, 501, 502, 10**12, 10**12 + 1, -4, 77, 78, 79, 80]

@@ -65,3 +65,23 @@ def test_no_rules_and_no_pages(spark, rules):
     pages = spark.createDataFrame([(1, "http://net/")], "page_id long, url string")
     assert url_filter.judge(pages, none).first().verdict == "allow"
     assert url_filter.judge(pages.where("false"), rules).count() == 0
+
+
+def test_long_hosts_make_no_long_candidates(spark, rules):
+    """A host of many labels: only suffixes as long as some rule's host are made."""
+    host = "a." * 20_000 + "example.net"
+    pages = spark.createDataFrame([(1, f"http://{host}/en/x"), (2, f"http://{'.' * 5000}/"), (3, "http://x.net./")], "page_id long, url string")
+    found = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge(pages, rules).collect()}
+    assert found == {1: ("example.net/en/", "allow"), 2: (None, "allow"), 3: (None, "allow")}
+    assert len(rules.lengths) == len({(r.index("/"), len(r) - r.index("/")) for r, _ in queries.RULES})
+
+
+def test_number_of_shards_follows_the_rules(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "RULES_PER_SHARD", 50)
+    many = spark.range(400).selectExpr("concat('h', id, '.org/', id % 7, '/') AS rule", "IF(id % 2 = 0, 'block', 'allow') AS verdict")
+    files = url_filter.build_rules(many)
+    assert len(files.shards) > 4
+    pages = spark.range(400).selectExpr("id AS page_id", "concat('x://sub.h', id, '.org/', id % 7, '/p') AS url")
+    assert {(r.page_id, r.rule, r.verdict) for r in url_filter.judge(pages, files).collect()} == {
+        (i, f"h{i}.org/{i % 7}/", "allow" if i % 2 else "block") for i in range(400)
+    }
