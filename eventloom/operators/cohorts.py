@@ -27,24 +27,58 @@ def _weeks_between(start: str, end) -> Column:
     return F.floor(F.date_diff(end, F.col(start)) / 7).cast("int")
 
 
+WEEKS_PER_WORD = 63  # bits of a long without its sign
+
+
+def _week_number(day) -> Column:
+    """Weeks since the Monday 1969-12-29, the one before the epoch."""
+    return F.floor((F.date_diff(day, F.lit("1970-01-01").cast("date")) + 3) / 7)
+
+
+def _monday(number: Column) -> Column:
+    return F.date_add(F.lit("1969-12-29").cast("date"), (number * 7).cast("int"))
+
+
+def active_weeks(sessions: DataFrame) -> DataFrame:
+    """user_pseudo_id, word, weeks: a user's active weeks as bits, 63 to a word.
+
+    Bits merge by OR, on the map side and in any order, in a hash aggregation of fixed-size values.
+    """
+    week = _week_number(week_start("session_date"))
+    word = F.floor(week / WEEKS_PER_WORD)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (week - word * WEEKS_PER_WORD).cast("int"))
+    return (
+        sessions.where(F.col("user_pseudo_id").isNotNull() & F.col("session_date").isNotNull())
+        .groupBy("user_pseudo_id", word.alias("word"))
+        .agg(F.bit_or(bit).alias("weeks"))
+    )
+
+
+def _weeks_of(word: Column, bits: Column) -> Column:
+    """Numbers of the weeks whose bits are set."""
+    set_ = F.filter(F.sequence(F.lit(0), F.lit(WEEKS_PER_WORD - 1)), lambda k: F.getbit(bits, k) == 1)
+    return F.transform(set_, lambda k: word * WEEKS_PER_WORD + k)
+
+
 def cohort_activity(sessions: DataFrame, users: DataFrame, dimensions: Sequence[str] = DIMENSIONS) -> DataFrame:
     """Active users per cohort and week in which any of the cohort was active.
 
-    A user's set of active weeks is no longer than the calendar, so it fits one row: one
-    shuffle by user yields first week and all weeks, and after the expansion each user
-    appears once per week, which makes the distinct user count a plain count.
+    A user's active weeks are a few words of bits. The lowest bit of the first word is the cohort; after
+    the expansion each user appears once per week, which makes the distinct user count a plain count.
     """
-    per_user = (
-        sessions.where(F.col("user_pseudo_id").isNotNull())
-        .groupBy("user_pseudo_id")
-        .agg(F.collect_set(week_start("session_date")).alias("weeks"))
-    )
+    words = active_weeks(sessions)
+    # Below the lowest bit that is set lie as many bits as weeks before the first active one.
+    lowest = F.bit_count(F.col("weeks").bitwiseAND(-F.col("weeks")) - 1)
+    first = words.groupBy("user_pseudo_id").agg(F.min(F.col("word") * WEEKS_PER_WORD + lowest).alias("first"))
     of_user = [F.coalesce(F.col(c), F.lit(UNKNOWN)).alias(c) for c in dimensions]
+    cohort = users.select("user_pseudo_id", *of_user).join(first, "user_pseudo_id")
+    cohort = cohort.select("user_pseudo_id", *dimensions, _monday(F.col("first")).alias("cohort_week"))
     return (
-        per_user.join(users.select("user_pseudo_id", *of_user), "user_pseudo_id")
-        .select(F.array_min("weeks").alias("cohort_week"), *dimensions, F.explode("weeks").alias("activity_week"))
-        .groupBy("cohort_week", *dimensions, "activity_week")
+        words.join(cohort, "user_pseudo_id")
+        .select("cohort_week", *dimensions, F.explode(_weeks_of(F.col("word"), F.col("weeks"))).alias("week"))
+        .groupBy("cohort_week", *dimensions, "week")
         .agg(F.count("*").alias("active_users"))
+        .select("cohort_week", *dimensions, _monday(F.col("week")).alias("activity_week"), "active_users")
     )
 
 

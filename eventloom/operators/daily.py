@@ -12,6 +12,7 @@ from eventloom.functions.columns import (
     clean_text,
     hash_key,
     known,
+    money_sum,
     month_start,
     or_zero,
     or_zero_money,
@@ -68,7 +69,7 @@ def executive_daily(funnel: DataFrame, orders: DataFrame) -> DataFrame:
     )
     by_order_date = orders.groupBy(F.col("order_date").alias("metric_date")).agg(
         F.count("*").alias("order_count"),
-        F.sum("order_revenue_usd").alias("revenue_usd"),
+        money_sum("order_revenue_usd").alias("revenue_usd"),
         F.sum("order_item_quantity").alias("units_purchased"),
     )
     session_counts = [c for c in by_session_date.columns[1:] if not c.startswith("average")]
@@ -153,7 +154,7 @@ def _orders_by_segment(funnel: DataFrame, orders: DataFrame, dimensions: Sequenc
     """
     own = [clean_text(c).alias(f"order_{c}") for c in dimensions]
     per_session = orders.groupBy(F.col("order_date").alias("metric_date"), "session_id", *own).agg(
-        F.count("*").alias("n"), F.sum("order_revenue_usd").alias("revenue")
+        F.count("*").alias("n"), money_sum("order_revenue_usd").alias("revenue")
     )
     session_side = funnel.select("session_id", "is_new_user_session", *dimensions)
     return (
@@ -166,7 +167,7 @@ def _orders_by_segment(funnel: DataFrame, orders: DataFrame, dimensions: Sequenc
             "revenue",
         )
         .groupBy(*_segment_keys(dimensions))
-        .agg(F.sum("n").alias("order_count"), F.sum("revenue").alias("revenue_usd"))
+        .agg(F.sum("n").alias("order_count"), money_sum("revenue").alias("revenue_usd"))
     )
 
 

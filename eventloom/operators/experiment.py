@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.functions.columns import known, or_zero, or_zero_money, ratio
+from eventloom.functions.columns import known, money_sum, or_zero, or_zero_money, ratio
 from eventloom.functions.normal import quantile, upper_tail
 
 CONTROL, TREATMENT = "control", "treatment"
@@ -358,7 +358,7 @@ def tested_segment(assigned: DataFrame) -> Column:
 def average_order_value(segments: DataFrame, dimension: str, segment: Column | str) -> Column:
     """Revenue per order of one segment, as a scalar for `modeled_impact`."""
     mine = segments.where(F.col(dimension) == segment)
-    return mine.agg(ratio(F.sum("revenue_usd"), F.sum("order_count"))).scalar()
+    return mine.agg(ratio(money_sum("revenue_usd"), F.sum("order_count"))).scalar()
 
 
 # --- safety checks ---------------------------------------------------------------------
@@ -376,7 +376,7 @@ def guardrails(assigned: DataFrame, orders: DataFrame) -> DataFrame:
         .groupBy("session_id")
         .agg(
             F.count("*").alias("orders"),
-            F.sum("order_revenue_usd").alias("revenue"),
+            money_sum("order_revenue_usd").alias("revenue"),
             F.count_if(clean).alias("clean_orders"),
         )
     )
@@ -390,7 +390,7 @@ def guardrails(assigned: DataFrame, orders: DataFrame) -> DataFrame:
             F.count_if(checkout).alias("checkout_sessions"),
             F.count_if(checkout & ~F.col("purchased")).alias("abandoned_checkouts"),
             or_zero(F.sum("orders")).alias("order_count"),
-            or_zero_money(F.sum("revenue")).alias("revenue_usd"),
+            or_zero_money(money_sum("revenue")).alias("revenue_usd"),
             or_zero(F.sum("clean_orders")).alias("clean_orders"),
         )
         .select(

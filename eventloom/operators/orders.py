@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.functions.columns import hash_key, or_zero, or_zero_money, product_key
+from eventloom.functions.columns import hash_key, money_sum, or_zero, or_zero_money, product_key, ratio
 from eventloom.operators.staging import ITEM_CATEGORIES, ITEM_PLACEMENT
 
 # What an order takes from its earliest purchase event.
@@ -106,7 +106,7 @@ def order_items(items: DataFrame, orders: DataFrame) -> DataFrame:
 def order_line_gaps(orders: DataFrame, order_items: DataFrame) -> DataFrame:
     """Per order: its revenue, the sum of its lines, and the absolute difference."""
     lines = order_items.groupBy("transaction_id").agg(
-        F.count("*").alias("item_rows"), F.sum("line_revenue_usd").alias("line_revenue_usd")
+        F.count("*").alias("item_rows"), money_sum("line_revenue_usd").alias("line_revenue_usd")
     )
     line_revenue = or_zero_money("line_revenue_usd")
     return orders.join(lines, "transaction_id", "left").select(
@@ -133,5 +133,5 @@ def order_item_reconciliation(orders: DataFrame, order_items: DataFrame, toleran
         F.count_if(F.col("item_rows") == 0).alias("orders_without_items"),
         F.count_if(gap <= tolerance_usd).alias("orders_within_tolerance"),
         F.count_if(gap > tolerance_usd).alias("orders_over_tolerance"),
-        F.avg(gap).alias("mean_revenue_gap_usd"),
+        ratio(money_sum(gap), F.count(gap)).alias("mean_revenue_gap_usd"),
     )

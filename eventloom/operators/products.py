@@ -10,6 +10,7 @@ from eventloom.functions.columns import (
     hash_key,
     known,
     last_known,
+    money_sum,
     or_zero,
     or_zero_money,
     product_key,
@@ -72,7 +73,7 @@ def _orders_by_day(order_items: DataFrame) -> DataFrame:
         F.col("order_date").alias("metric_date"), "product_key", "item_id", "transaction_id"
     ).agg(
         F.sum("quantity").alias("units"),
-        F.sum("line_revenue_usd").alias("revenue"),
+        money_sum("line_revenue_usd").alias("revenue"),
         *_latest("purchased_at"),
     )
     return per_order.groupBy(*DAY_PRODUCT).agg(
@@ -80,7 +81,7 @@ def _orders_by_day(order_items: DataFrame) -> DataFrame:
         *_latest_again(),
         F.count("*").alias("order_count"),
         F.sum("units").alias("units_purchased"),
-        F.sum("revenue").alias("product_revenue_usd"),
+        money_sum("revenue").alias("product_revenue_usd"),
     )
 
 
@@ -133,13 +134,13 @@ def product_opportunity(performance: DataFrame) -> DataFrame:
         F.max("metric_date").alias("last_activity_date"),
         *[last_known(c, "metric_date").alias(c) for c in ATTRIBUTES[:-1]],
         known(last_known(clean_text("item_category"), "metric_date")).alias("item_category"),
-        *[F.sum(c).alias(c) for c in summed],
+        *[(money_sum(c) if c.endswith("_usd") else F.sum(c)).alias(c) for c in summed],
     )
     categories = products.groupBy("item_category").agg(
         F.sum("view_item_sessions").alias("category_view_item_sessions"),
         F.sum("add_to_cart_sessions").alias("category_add_to_cart_sessions"),
         F.sum("order_count").alias("category_order_count"),
-        F.sum("product_revenue_usd").alias("category_revenue_usd"),
+        money_sum("product_revenue_usd").alias("category_revenue_usd"),
     )
     # Summed from the category totals, which the join below shuffles anyway.
     portfolio = categories.agg(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.functions.columns import elapsed_seconds, first_known, or_zero, or_zero_money
+from eventloom.functions.columns import elapsed_seconds, first_known, money_sum, or_zero, or_zero_money
 
 FIRST_KNOWN = [
     "device_category",
@@ -38,7 +38,7 @@ def session_orders(events: DataFrame) -> DataFrame:
         .agg(F.max(or_zero_money("purchase_revenue_usd")).alias("revenue"))
     )
     return per_transaction.groupBy("session_id").agg(
-        F.count("*").alias("transactions"), F.sum("revenue").alias("revenue_usd")
+        F.count("*").alias("transactions"), money_sum("revenue").alias("revenue_usd")
     )
 
 

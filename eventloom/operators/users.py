@@ -9,6 +9,7 @@ from eventloom.functions.columns import (
     UNKNOWN,
     first_known,
     hash_key,
+    money_sum,
     month_start,
     or_zero,
     or_zero_money,
@@ -65,7 +66,7 @@ def users(sessions: DataFrame, orders: DataFrame) -> DataFrame:
             F.min("purchased_at").alias("first_purchase_at"),
             F.max("purchased_at").alias("last_purchase_at"),
             F.count("*").alias("orders"),
-            F.sum("order_revenue_usd").alias("revenue"),
+            money_sum("order_revenue_usd").alias("revenue"),
             F.sum("order_item_quantity").alias("units"),
         )
     )

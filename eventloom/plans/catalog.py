@@ -7,7 +7,7 @@ from collections.abc import Collection, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.operators import checks, cohorts, daily, experiment, funnel, orders, products, sessions, staging, users
+from eventloom.operators import checks, cohorts, daily, distinct, experiment, funnel, orders, products, sessions, staging, users
 from eventloom.sources import versions
 from eventloom.sources.raw import Layout
 
@@ -32,7 +32,12 @@ TABLES = {
     "cohort_retention": Layout(),
     # The target is chosen once, for all that evaluates the experiment.
     "experiment_sessions": Layout(),
+    # Numbers of users, the same for all that counts by them.
+    "user_places": Layout(),
 }
+# Tables that meet by session. With a number of buckets they are written hashed by session id, and their
+# joins and groupings by session need no shuffle.
+BY_SESSION = ("sessions", "session_funnel", "orders", "experiment_sessions")
 # Staged rows are as many as the raw ones, so they are views unless asked for as tables.
 DEFAULT_TABLES = tuple(name for name in TABLES if not name.startswith("stg_"))
 
@@ -54,10 +59,12 @@ class Catalog(Mapping[str, DataFrame]):
         date_to: str | None = None,
         warehouse: str | None = None,
         tables: Collection[str] = DEFAULT_TABLES,
+        buckets: int | None = None,
     ):
         if unknown := set(tables) - set(TABLES):
             raise ValueError(f"not to be written as tables: {', '.join(sorted(unknown))}")
         self._warehouse = warehouse
+        self._layouts = TABLES | ({n: Layout(bucket="session_id", buckets=buckets) for n in BY_SESSION} if buckets else {})
         self._tables = frozenset(tables)
         self._built: dict[str, DataFrame] = {}
         self._recipes = {
@@ -81,9 +88,17 @@ class Catalog(Mapping[str, DataFrame]):
             "customer_summary": lambda: users.customer_summary(self["users"]),
             "weekly_activity": lambda: cohorts.weekly_activity(self["sessions"]),
             "cohort_retention": lambda: cohorts.cohort_retention(self["sessions"], self["users"]),
+            "user_places": lambda: distinct.places(self["sessions"], "user_pseudo_id"),
+            "active_users": self._active_users,
             "experiment_sessions": lambda: experiment.experiment_sessions(self["session_funnel"]),
         }
 
+    def _active_users(self) -> DataFrame:
+        if self._warehouse is None or "user_places" not in self._tables:
+            raise ValueError("active_users counts by numbers that have to be written: give a warehouse")
+        numbers = distinct.numbered(self["user_places"], "user_pseudo_id")
+        return distinct.distinct_by_period(distinct.daily_bitmaps(self["sessions"], numbers, "user_pseudo_id", "session_date"))
+
     def plan(self, name: str) -> DataFrame:
         """The dataset computed from its inputs, even where it is also a written table."""
         return self._recipes[name]()
@@ -96,7 +111,7 @@ class Catalog(Mapping[str, DataFrame]):
     def _build(self, name: str) -> DataFrame:
         df = self.plan(name)
         if self._warehouse is not None and name in self._tables:
-            return versions.publish(df, f"{self._warehouse}/{name}", TABLES[name], checks.measures(name))
+            return versions.publish(df, f"{self._warehouse}/{name}", self._layouts[name], checks.measures(name))
         return df
 
     def measured(self, name: str) -> dict[str, int] | None:
@@ -135,12 +150,15 @@ def materialize(
     date_from: str | None = None,
     date_to: str | None = None,
     tables: Collection[str] = DEFAULT_TABLES,
+    buckets: int | None = None,
 ) -> Catalog:
     """Write the named datasets (full replacement) and return the catalog over them.
 
-    A run that fails on the way leaves the tables it hasn't reached as they were.
+    A run that fails on the way leaves the tables it hasn't reached as they were. `buckets`: into how many files,
+    hashed by session id, the tables of sessions are dealt; about one for each 100 MB of the largest, and as many as
+    shuffles have partitions, so that what is computed by session meets them where they are.
     """
-    found = Catalog(raw, date_from, date_to, warehouse or shared_folder(raw.sparkSession, "tables"), tables)
+    found = Catalog(raw, date_from, date_to, warehouse or shared_folder(raw.sparkSession, "tables"), tables, buckets)
     for name in TABLES:
         if name in found._tables:
             found[name]

@@ -35,16 +35,26 @@ class Layout:
     day: partition column. cluster: sort column inside each file, so that the Parquet
     statistics let a filter on it skip most row groups. rebalance: shuffle by day before
     writing, for rows that do not arrive by day; days of ordinary size then land in one file
-    and a day holding much of the data is split over several tasks.
+    and a day holding much of the data is split over several tasks. bucket: column by whose hash
+    the rows lie in `buckets` files, each sorted by it, so that tables with the same column and
+    number join, and group, without a shuffle; for tables that are not split by day.
     """
 
     day: str | None = None
     cluster: str | None = None
     rebalance: bool = False
+    bucket: str | None = None
+    buckets: int = 0
+
+    def __post_init__(self):
+        if self.bucket is not None and (self.day is not None or self.buckets < 1):
+            raise ValueError("a bucketed table is not split by day and has a number of buckets")
 
 
 def laid_out(df: DataFrame, layout: Layout) -> DataFrame:
     """The rows as the writer wants them."""
+    if layout.bucket is not None:
+        return df.repartition(layout.buckets, layout.bucket)
     if layout.rebalance:
         df = df.hint("rebalance", layout.day)
     if layout.cluster is not None:

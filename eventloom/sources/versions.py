@@ -41,6 +41,8 @@ class Manifest:
     schema: str
     day: str | None
     parts: dict[str, str]
+    bucket: str | None = None
+    buckets: int = 0
     written: dict[str, list[str]] = field(default_factory=dict)
     measures: dict[str, dict[str, int]] = field(default_factory=dict)
 
@@ -121,9 +123,22 @@ def read_version(spark: SparkSession, path: str, manifest: Manifest | None = Non
     folders = manifest.folders(path)
     if not folders:
         return spark.createDataFrame([], schema)
+    if manifest.bucket:
+        # Only a table of the session's catalog can say how its files are dealt.
+        (version,) = manifest.parts.values()
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {_table(version)} ({columns}) USING parquet CLUSTERED BY (`{manifest.bucket}`)"
+            f" SORTED BY (`{manifest.bucket}`) INTO {manifest.buckets} BUCKETS LOCATION '{folders[0]}'"
+        )
+        return spark.table(_table(version)).select(*schema.names)
     return spark.read.schema(stored).option("basePath", path).parquet(*folders).select(*schema.names)
 
 
+def _table(version: str) -> str:
+    return f"bucketed_{version}"
+
+
 def publish(
     df: DataFrame,
     path: str,
@@ -149,8 +164,12 @@ def publish(
     if seen is not None:
         # Above the last shuffle, so that each row is counted by the task whose file is kept.
         rows = rows.observe(seen, *[value.alias(name) for name, value in measures.items()])
-    writer = rows.write if layout.day is None else rows.write.partitionBy(layout.day)
-    writer.parquet(f"{path}/{VERSION}={version}")
+    folder = f"{path}/{VERSION}={version}"
+    if layout.bucket is not None:
+        rows.write.bucketBy(layout.buckets, layout.bucket).sortBy(layout.bucket).option("path", folder).saveAsTable(_table(version))
+    else:
+        writer = rows.write if layout.day is None else rows.write.partitionBy(layout.day)
+        writer.parquet(folder)
     files = _Files(spark, path)
     if layout.day is None:
         written = [""]
@@ -170,6 +189,8 @@ def publish(
         schema=df.schema.json(),
         day=layout.day,
         parts=parts,
+        bucket=layout.bucket,
+        buckets=layout.buckets,
         written=carried | {version: written},
         measures=counted,
     )
@@ -194,6 +215,7 @@ def vacuum(spark: SparkSession, path: str, keep: int = 1, older_than_hours: floa
     for name, changed in files.list(path):
         version = name.removeprefix(head)
         if name.startswith(head) and version not in used and changed <= horizon:
+            spark.sql(f"DROP TABLE IF EXISTS {_table(version)}")
             files.delete(f"{path}/{name}")
             gone.append(version)
     return sorted(gone)

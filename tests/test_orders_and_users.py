@@ -1,10 +1,13 @@
 """Orders, order lines, reconciliation, users, customer summary."""
 
 import datetime as dt
+import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from eventloom.functions.columns import money_sum
 from eventloom.operators.orders import order_item_reconciliation, order_items, order_line_gaps, orders
 from eventloom.operators.sessions import sessions
 from eventloom.operators.users import customer_summary, users
@@ -151,3 +154,17 @@ def test_customer_summary_bands(spark, events_of):
     }
     assert {s for _, s in bands.values()} == {1}
     assert customer_summary(people).where(F.col("first_seen_week") != F.lit("2024-03-04")).count() == 0
+
+
+def test_sums_of_money_have_the_same_bits_in_any_order(spark):
+    rng = random.Random(6)
+    amounts = [round(rng.uniform(0, 10_000), 2) for _ in range(3000)] + [None, float("nan"), float("inf"), 0.1, 0.2, -5.75]
+    total = sum(round(a * 1_000_000) for a in amounts if a is not None and math.isfinite(a)) / 1_000_000
+    plain = set()
+    for parts in (1, 7, 40):
+        rng.shuffle(amounts)
+        df = spark.createDataFrame([(a,) for a in amounts], "a double").repartition(parts)
+        assert df.agg(money_sum("a").alias("s")).first().s == total
+        plain.add(df.where("NOT isnan(a) AND a < 1e300").agg(F.sum("a")).first()[0])
+    assert len(plain) > 1  # which sums of doubles don't do
+    assert spark.range(0).agg(money_sum(F.col("id").cast("double"))).first()[0] is None

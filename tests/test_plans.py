@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from eventloom.plans.catalog import TABLES, Catalog, materialize, shared_folder
-from eventloom.sources import demo_export
+from eventloom.sources import demo_export, versions
+from eventloom.sources.raw import Layout
+from eventloom.sources.schema import RAW_EVENT
 from tests.conftest import event
 
 
@@ -177,3 +179,43 @@ def test_experiment_reads_one_assigned_table(tables, no_broadcast):
         scans[name] = plan.count("FileScan")
     assert {scans[n] for n in ("variant_summary", "ab_ztest", "user_ratio_test", "srm_check")} == {1}
     assert scans["guardrails"] == 2 and (scans["modeled_impact"], scans["rollout_decision"]) <= (4, 8), scans
+
+
+@pytest.fixture(scope="module")
+def bucketed(spark, tables, tmp_path_factory):
+    raw = spark.read.schema(RAW_EVENT).parquet(tables._warehouse + "/../raw")
+    return materialize(raw, str(tmp_path_factory.mktemp("bucketed")), tables=TABLES, buckets=4)
+
+
+def below_joins(df) -> list[str]:
+    """The parts of the plan under each join."""
+    plan = physical(df)
+    return [plan[m.start() :] for m in re.finditer(r"SortMergeJoin|ShuffledHashJoin", plan)]
+
+
+def test_tables_by_session_meet_without_shuffles(bucketed, tables, no_broadcast):
+    orders = bucketed["orders"].where("session_id IS NOT NULL").groupBy("session_id").agg(F.count("*").alias("n"))
+    funnel, sessions = bucketed["session_funnel"], bucketed["sessions"].select("session_id", "event_count")
+    met = sessions.join(funnel.select("session_id", "funnel_status"), "session_id").join(orders, "session_id", "left")
+    assert "Exchange" not in physical(met) and physical(met).count("SortMergeJoin") == 2
+    joined = below_joins(entry.EXPERIMENTS["guardrails"](bucketed))
+    assert len(joined) == 1 and "Exchange" not in joined[0]
+    # As many buckets as shuffle partitions: what is computed by session meets them too.
+    assert len(hash_exchanges(bucketed.plan("session_funnel"))) < len(hash_exchanges(tables.plan("session_funnel")))
+    plain = tables["sessions"].join(tables["session_funnel"].select("session_id", "funnel_status"), "session_id")
+    assert physical(plain).count("Exchange") == 2
+
+
+def test_bucketed_tables_hold_the_same(bucketed, tables, spark):
+    for name in ("sessions", "session_funnel", "orders", "experiment_sessions", "executive_daily"):
+        assert bucketed[name].schema == tables[name].schema
+        assert bucketed[name].exceptAll(tables[name]).isEmpty() and tables[name].exceptAll(bucketed[name]).isEmpty(), name
+    # Another application reads them by their manifest.
+    path = f"{bucketed._warehouse}/sessions"
+    (version,) = versions.current(spark, path).parts.values()
+    spark.sql(f"DROP TABLE bucketed_{version}")
+    again = versions.read_version(spark, path)
+    assert again.count() == tables["sessions"].count() and "Bucketed: true" in physical(again.groupBy("session_id").count())
+    assert bucketed.measured("sessions") == tables.measured("sessions")
+    with pytest.raises(ValueError):
+        Layout(day="d", bucket="k", buckets=2)
