@@ -209,6 +209,40 @@ def test_trees_add_spans_and_keep_base_ones(spark, documents):
         assert set(base) <= set(spans) and base == plain_spans(text)
 
 
+def test_disguised_spans_are_found_and_lookalikes_left(spark):
+    """Trained on one half of the texts, judged on the other, by kind."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text", F.xxhash64("text").alias("hash")).distinct()
+    trees = pii.train(docs.where("hash < 0"))
+    assert set(trees.thresholds) == {0, 1, 2, 3}
+    caught, planted, taken, shown = ([0] * 4 for _ in range(4))
+    for r in docs.where("hash >= 0").collect():
+        text, right, wrong = pii.altered(r.text, pii.base_spans(r.text), r.hash)
+        strict, found = set(pii.base_spans(text)), set(pii.find(text, trees)[1])
+        for span in set(right) - strict:
+            planted[span[0]] += 1
+            caught[span[0]] += span in found
+        for kind, a, b in wrong:
+            shown[kind] += 1
+            taken[kind] += any(k == kind and x < b and a < y for k, x, y in found - strict)
+    assert min(planted) >= 15 and min(shown) > 500
+    assert all(c >= 0.9 * p for c, p in zip(caught, planted)), (caught, planted)
+    assert sum(taken) <= 0.01 * sum(shown), (taken, shown)
+    print("caught", caught, "of", planted, "look-alikes taken", taken, "of", shown)
+
+
+def test_altered_texts_say_where_things_are():
+    for k, text in enumerate([t for t in TEXTS if t] * 5):
+        base = pii.base_spans(text)
+        other, right, wrong = pii.altered(text, base, k)
+        assert (other, right, wrong) == pii.altered(text, base, k)  # the same after a retry
+        letters = lambda kind, part: re.sub("[^0-9]" if kind else "[^A-Za-z0-9%+_]", "", part)
+        for kind, a, b in right:
+            sources = {letters(kind, text[x:y]) for q, x, y in base if q == kind}
+            made = letters(kind, re.sub(r"[\[(] ?(at|dot) ?[\])]", "", other[a:b]))
+            assert made in sources or kind == 3 and made.removeprefix("00") in sources
+        assert len(wrong) == 2 and all(0 < a < b < len(other) for _, a, b in wrong)
+
+
 def test_query_and_redaction(spark, documents, awkward, nothing):
     rows = {r.doc_id: r for r in queries.op4_pii(spark, SMALL).collect()}
     for d in documents.collect():
