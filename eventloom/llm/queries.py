@@ -165,7 +165,32 @@ WITH parts AS (
 SELECT page_id, host, path, rule,
     CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
 FROM judged
-""",    "op11_piece_table": r"""
+""",    "op8_jaccard_join": r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+') IF x <> ''] AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN []::UBIGINT[]
+        WHEN len(w) < 3 THEN [hash(array_to_string(w, ' '))]
+        ELSE [hash(w[i], w[i + 1], w[i + 2]) FOR i IN range(1, len(w) - 1)] END)) AS s
+    FROM words
+), classes AS (
+    SELECT s, min(doc_id) AS c, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s
+), posted AS (
+    SELECT c, n, unnest(s) AS h FROM classes
+), edges AS (
+    SELECT a.c AS x, b.c AS y FROM posted a JOIN posted b ON a.h = b.h AND a.c <> b.c AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n
+    GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), reach AS (
+    SELECT x, y FROM edges UNION SELECT r.x, e.y FROM reach r JOIN edges e ON r.y = e.x
+), least AS (
+    SELECT x, min(y) AS y FROM reach GROUP BY x
+)
+SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(least(k.c, l.y), d.doc_id) AS component_id
+FROM sets d LEFT JOIN classes k ON d.s = k.s LEFT JOIN least l ON l.x = k.c
+""",
+    "op11_piece_table": r"""
 WITH drawn AS (
     SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
     FROM documents

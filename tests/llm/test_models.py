@@ -138,6 +138,37 @@ def test_label_model_finds_good_and_doubled_voters():
     assert ((model.posterior(votes, labels) > 0.5) == true).mean() > 0.95
 
 
+def test_scores_equal_the_plain_sum(spark, awkward):
+    """Each word of a text, and each of its beginnings, adds its weight once."""
+    weights = {"river": 0.7, "fox": -1.5, "quick": 0.25, "anoth*": 2.0, "withou*": -0.5, "a": 0.125, "ß": 3.0, "日本語": -2.0, "unseen": 9.0}
+    model = toxicity.Classifier(-0.4, weights)
+    for r in toxicity.score(awkward, model).collect():
+        words = {w for w in re.split(r"[\W\d_]+", (r.text or "").lower()) if w}
+        features = words | {w[:k] + "*" for w in words for k in (5, 6, 7) if len(w) >= k}
+        score = 1 / (1 + np.exp(-(-0.4 + sum(weights.get(f, 0) for f in features))))
+        assert r.score == pytest.approx(score) and r.predicted == int(score >= 0.5), r.text
+
+
+def test_posterior_is_the_rule_of_bayes():
+    """Voters without correlation: the product of their rates, taken one by one."""
+    rng = np.random.default_rng(4)
+    truth = rng.random(4000) < 0.3
+    rates = np.array([[0.02, 0.4], [0.05, 0.3], [0.01, 0.2]])
+    votes = (rng.random((4000, 3)) < rates[:, truth.astype(int)].T).astype(float)
+    labels = np.where(rng.random(4000) < 0.1, ~truth, truth).astype(int)
+    model = toxicity.LabelModel.fit(votes, labels)
+    found = model.posterior(votes, labels)
+    away = []
+    for i in range(4000):
+        odds = 0.3 / 0.7 * (0.9 / 0.1 if labels[i] else 0.1 / 0.9)
+        for k, (other, toxic) in enumerate(rates):
+            odds *= toxic / other if votes[i, k] else (1 - toxic) / (1 - other)
+        away.append(abs(found[i] - odds / (1 + odds)))
+    # The rates are estimated from the votes, not known; so are the answers, nearly.
+    assert np.mean(away) < 0.06, np.mean(away)
+    assert np.mean((found > 0.5) == truth) > np.mean(labels == truth)
+
+
 def test_sample_of_labels_is_bounded_by_keys(spark):
     labels = spark.createDataFrame([(1, 1)] * 5000 + [(i, i % 2) for i in range(300)] + [(None, 1), (7, None)], "doc_id long, toxic int")
     docs = spark.range(300).selectExpr("id AS doc_id", "concat('text ', id) AS text")

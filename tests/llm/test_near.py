@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from eventloom.llm import jaccard_join, queries, spotsigs
 from eventloom.llm.components import connected_components
+from tests.compare import connect, difference
 from tests.llm.conftest import SMALL
 
 
@@ -186,3 +187,8 @@ def test_similar_equals_brute_force(spark, edited):
     sets = {d: spots(t) for d, t in edited}
     want = {(a, b): j for a in sets for b in sets if a % 3 == 0 and a != b and (j := jaccard(sets[a], sets[b])) >= 0.6}
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_join_query_equals_sql(spark):
+    name = "op8_jaccard_join"
+    assert difference(queries.QUERIES[name](spark, SMALL), connect(SMALL), queries.SQL[name]) is None
