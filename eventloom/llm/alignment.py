@@ -6,10 +6,10 @@ leads each to the last token of its component, where tokens of both sides end to
 terminal labels the group. The last tokens of a group, one of each side, are a link.
 
 `align` is one pass without a shuffle. It works on blocks of texts of bounded size, and gives each
-document its tokens, groups and links; a link is a number into its block's dictionary of id pairs, so a pair
-that all documents have leaves a block once. `count_links` sums the dictionaries for the whole
+document its tokens, groups and links; a link is a number into its block's dictionary of id pairs, of two
+bytes where the dictionary allows, and a pair that all documents have leaves a block once. `count_links` sums the dictionaries for the whole
 corpus, finds for each id of the second side its most frequent partner, and brings the counts back to the
-blocks that asked for them. What is shuffled is four bytes a link and the dictionaries, not a row a link.
+blocks that asked for them. What is shuffled is two or four bytes a link and the dictionaries, not a row a link.
 
 Cases: a text that is null or empty, or that one of the tokenizers doesn't give back byte by byte, has
 no tokens, groups or links. Strings of special tokens are ordinary text. Long texts are blocks of
@@ -127,6 +127,11 @@ def align_texts(a: Side, b: Side, texts: list[str | None]) -> tuple[list[np.ndar
     return of_a, of_b, group[: len(all_a)], group[len(all_a) :]
 
 
+def _numbers(pairs: int) -> np.dtype:
+    """Of the links of a block with so many different pairs."""
+    return np.dtype("<u2" if pairs <= 1 << 16 else "<u4")
+
+
 def _edges(parts: list[np.ndarray]) -> np.ndarray:
     return np.cumsum([0, *map(len, parts)])
 
@@ -190,7 +195,7 @@ def _block(a: Side, b: Side, texts: list[str | None], block: int, groups: bool)
     last_a, last_b = (np.flatnonzero(np.append(np.diff(g) > 0, True)[: len(g)]) for g in (group_a, group_b))
     pairs = np.concatenate([*of_a, edges_a[:0]])[last_a] << 32 | np.concatenate([*of_b, edges_b[:0]])[last_b]
     known, number, count = np.unique(pairs, return_inverse=True, return_counts=True)
-    packed, links = number.astype("<u4"), np.searchsorted(last_b, edges_b)
+    packed, links = number.astype(_numbers(len(known))), np.searchsorted(last_b, edges_b)
     own = [((group_a[i:j], group_b[k:m])) for i, j, k, m in zip(edges_a, edges_a[1:], edges_b, edges_b[1:])]
     made: dict[str, list] = {
         "n_a": list(map(len, of_a)),
@@ -237,8 +242,9 @@ def count_links(aligned: DataFrame) -> DataFrame:
         counts[place] = counted.column("n").to_numpy()
         best[place] = counted.column("best").to_numpy().astype(np.int64)
         links = of.column(LINKS).to_pylist()
-        numbers = np.frombuffer(b"".join(links), "<u4")
-        edges = np.cumsum([0, *map(len, links)]) // 4
+        kind = _numbers(counted.num_rows)
+        numbers = np.frombuffer(b"".join(links), kind)
+        edges = np.cumsum([0, *map(len, links)]) // kind.itemsize
         made = [pa.array(np.diff(edges))]
         for values in (best, counts):
             made.append(pa.array(np.diff(np.append(0, np.cumsum(values[numbers]))[edges])))

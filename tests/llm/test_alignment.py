@@ -152,3 +152,20 @@ def test_what_travels_by_pair_is_a_row_a_block(spark):
     assert rows.where(F.col(alignment.DICTIONARY).isNotNull()).count() == rows.select(alignment.BLOCK).distinct().count() == 2
     assert {(r.n_best, r.count_sum) for r in alignment.count_links(rows).collect()} == {(4, 20_000)}
     assert alignment.link_counts(rows).agg(F.sum("n")).first()[0] == 20_000
+
+
+def test_blocks_with_more_pairs_than_two_bytes_count(spark):
+    """One block with 70,000 different pairs, whose links have four bytes each, and one with two, whose links have two."""
+    assert [alignment._numbers(n).itemsize for n in (0, 1 << 16, (1 << 16) + 1)] == [2, 2, 4]
+    many = [(k << 32 | k % 7000, 1) for k in range(70_000)]
+    few = [(3 << 32 | 3, 2), (70_001 << 32 | 3, 1)]
+    rows = [
+        (1, 1, np.arange(35_000, dtype="<u4").tobytes(), many),
+        (2, 1, np.arange(69_999, 34_999, -1, dtype="<u4").tobytes(), None),
+        (3, 2, np.array([0, 1, 0], "<u2").tobytes(), few),
+        (4, 2, b"", None),
+    ]
+    schema = f"row long, {alignment.BLOCK} long, {alignment.LINKS} binary, {alignment.DICTIONARY} array<struct<pair: long, n: long>>"
+    found = {r["row"]: (r.n_links, r.n_best, r.count_sum) for r in alignment.count_links(spark.createDataFrame(rows, schema)).collect()}
+    # Pair 3-3 has three links in all, so of the ten pairs with 3 in the second place it alone is the best.
+    assert found == {1: (35_000, 35_000 - 4, 35_002), 2: (35_000, 35_000 - 5, 35_000), 3: (3, 2, 7), 4: (0, 0, 0)}
