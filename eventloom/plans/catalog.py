@@ -12,12 +12,13 @@ from eventloom.sources import versions
 from eventloom.sources.raw import Layout
 
 # Datasets written as tables. The staged rows arrive by day, because the raw files are split
-# by day, and are written without a shuffle; sorted by event name, a read of the purchases
-# skips nearly all row groups. Session and order tables are always read whole, so they are
+# by day, and are written without a shuffle and without a sort, which would take the widest rows of all:
+# they keep the order of the raw files. Where those are sorted by event name, so are the staged files, and
+# a read of the purchases skips nearly all row groups. Session and order tables are always read whole, so they are
 # not split by day, which would cost a shuffle. The two wide daily marts are small.
 TABLES = {
-    "stg_events": Layout("event_date", "event_name"),
-    "stg_items": Layout("event_date", "event_name"),
+    "stg_events": Layout("event_date"),
+    "stg_items": Layout("event_date"),
     "sessions": Layout(),
     "session_funnel": Layout(),
     "orders": Layout(),

@@ -58,7 +58,6 @@ def laid_out(df: DataFrame, layout: Layout) -> DataFrame:
     if layout.rebalance:
         df = df.hint("rebalance", layout.day)
     if layout.cluster is not None:
-        # The partitioned writer sorts by day anyway; this only adds the second column.
         df = df.sortWithinPartitions(*filter(None, (layout.day, layout.cluster)))
     return df
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from eventloom.plans.catalog import TABLES, Catalog, materialize, shared_folder
 from eventloom.sources import demo_export, versions
-from eventloom.sources.raw import Layout
+from eventloom.sources.raw import Layout, laid_out
 from eventloom.sources.schema import RAW_EVENT
 from tests.conftest import event
 
@@ -222,3 +222,36 @@ def test_bucketed_tables_hold_the_same(bucketed, tables, spark):
     assert bucketed.measured("sessions") == tables.measured("sessions")
     with pytest.raises(ValueError):
         Layout(day="d", bucket="k", buckets=2)
+
+
+def test_export_is_shuffled_and_sorted_before_its_rows_are_nested(spark, tmp_path, monkeypatch):
+    seen = []
+    write = demo_export.write_export
+    monkeypatch.setattr(demo_export, "write_export", lambda df, path, layout: (seen.append((physical(df), layout)), write(df, path, layout)))
+    rows = demo_export.export(spark, "/root/testdata/sf0.001", str(tmp_path / "raw"))
+    (plan, layout) = seen[0]
+    assert plan.count("Exchange") == plan.count("Sort [") == 1 and layout == Layout("event_date")
+    assert plan.index("transform(") < plan.index("Sort [") < plan.index("Exchange") and "transform(" not in plan[plan.index("Sort [") :]
+    flat = demo_export.raw_events(spark.read.parquet("/root/testdata/sf0.001/events.parquet"))
+    assert rows.count() == flat.count()
+    texts = [df.select(F.xxhash64(F.to_json(F.struct(*RAW_EVENT.names)))) for df in (rows, flat)]
+    assert texts[0].exceptAll(texts[1]).isEmpty() and texts[1].exceptAll(texts[0]).isEmpty()
+
+
+def test_staged_rows_are_written_without_a_sort_in_the_order_of_the_raw_files(spark, tables):
+    for name in ("stg_events", "stg_items"):
+        plan = physical(laid_out(tables.plan(name), TABLES[name]))
+        assert "Sort" not in plan and "Exchange" not in plan, name
+        found = tables[name].select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at"), "event_name").collect()
+        files = {}
+        for r in sorted(found, key=lambda r: r.at):
+            files.setdefault(r.file, []).append(r.event_name)
+        assert len(files) >= 30 and all(names == sorted(names) for names in files.values()), name
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) >= 32
+
+
+def test_a_task_with_more_days_than_open_files_writes_them_all(spark, tmp_path):
+    day = F.date_add(F.lit("2024-03-01").cast("date"), (F.col("id") % 90).cast("int"))
+    rows = spark.range(0, 9000, 1, 1).select("id", F.when(F.col("id") % 91 > 0, day).alias("day"))
+    found = versions.publish(rows, str(tmp_path / "days"), Layout("day"))
+    assert found.exceptAll(rows).isEmpty() and found.count() == 9000
