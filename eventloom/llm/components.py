@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.llm.workspace import written
@@ -12,30 +13,33 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     """(node, component) of every node that edges (a, b) name; a component is its smallest node.
 
     Each round hangs the larger neighbours of every node on its smallest one, then the smaller ones,
-    until nothing moves: about log rounds, each a few joins and groupings that combine on the map
-    side, written to the shared folder. A node with very many edges is a skewed join key, which
-    adaptive execution splits. Loops are ignored; edges may repeat, in either direction.
+    until nothing moves: about log rounds, each of three shuffles. The smallest neighbours combine on the map
+    side. An edge notes whether it moved, so a round is also its own test for the end. The rounds' edges are kept on
+    the executors' disks, the result is written to the shared folder. Loops are ignored; edges may repeat, in either
+    direction.
     """
-    current = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
-    state = _state(current)
-    while state[0]:
-        both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        # Every edge now leads from a larger to a smaller node.
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(least, "a")
-        down = joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        current = written(down.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), name)
-        if (now := _state(current)) == state:
-            break
-        state = now
-    roots = current.select(F.col("b").alias("node")).distinct()
-    return current.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node").unionByName(
-        roots.join(current, F.col("node") == F.col("a"), "left_anti").select("node", F.col("node").alias("component"))
-    )
-
-
-def _state(edges: DataFrame) -> tuple:
-    mixed = F.xxhash64("a", "b")
-    return tuple(edges.agg(F.count("*"), F.bit_xor(mixed), F.coalesce(F.sum(F.shiftrightunsigned(mixed, 32)), F.lit(0))).first())
+    moved = F.lit(True).alias("moved")
+    current = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), moved), name)
+    kept: list[DataFrame] = []
+    while not current.where("moved").isEmpty():
+        both = current.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("b"), F.least("a", "m").alias("m"))
+        large = current.select("a", "b").join(least, "b").select("a", F.col("m").alias("b"), (F.col("m") < F.col("b")).alias("moved"))
+        # Every edge now leads from a larger to a smaller node. Those of one larger node are in one partition, where they
+        # are made distinct and compared without another shuffle.
+        own = Window.partitionBy("a")
+        large = large.repartition("a").groupBy("a", "b").agg(F.max("moved").alias("moved"))
+        small = large.select("a", "b", F.min("b").over(own).alias("m"), F.max("moved").over(own).alias("moved"))
+        first = F.col("b") == F.col("m")
+        kept.append(
+            small.select(
+                F.when(first, F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"), (~first | F.col("moved")).alias("moved")
+            ).persist(StorageLevel.DISK_ONLY)
+        )
+        current = kept[-1]
+    # Nothing moved: each node but the smallest of its component has one edge, to that one.
+    named = F.inline(F.array(*[F.struct(F.col(c).alias("node"), F.col("b").alias("component")) for c in "ab"]))
+    found = written(current.select(named).distinct(), name)
+    for rows in kept:
+        rows.unpersist()
+    return found

@@ -142,8 +142,24 @@ def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows_of(last, np.full(last.shape[1], last.shape[1]))
 
 
+def hang(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs of a batch: the smallest node of each part they connect, with each other node of it."""
+    names, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = np.split(at, 2)
+    least = np.arange(len(names))
+    while (least[a] != least[b]).any():
+        low = np.minimum(least[a], least[b])
+        for ends in (a, b, least[a], least[b]):
+            np.minimum.at(least, ends, low)
+        while (least[least] != least).any():
+            least = least[least]
+    others = least != np.arange(len(names))
+    return names[least[others]], names[others]
+
+
 def _met(docs: DataFrame, sizes: DataFrame, n: int, percent: int) -> DataFrame:
-    """Pairs of nodes (a, b) that meet in a posting; they connect all that meet, not every pair is named.
+    """Pairs of nodes (a, b) that meet in a posting; they connect all that meet, not every pair is named:
+    those that meet in a batch hang on the smallest of them, so that a family has no long chains.
 
     sizes: node and size of each distinct set.
     """
@@ -164,15 +180,19 @@ def _met(docs: DataFrame, sizes: DataFrame, n: int, percent: int) -> DataFrame:
                     columns = [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(nodes))]
                     yield pa.RecordBatch.from_arrays(columns, names=["key", "node"])
 
-    def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = np.empty((2, 0), np.int64)
+    def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, centre = None, None  # the open key and its smallest node
         for batch in batches:
-            rows = np.stack([np.asarray(batch.column(0)), np.asarray(batch.column(1))])
-            rows = np.concatenate([last, rows], axis=1)
-            same = (rows[0, 1:] == rows[0, :-1]) & (rows[1, 1:] != rows[1, :-1])
-            pairs = np.unique(np.stack([rows[1, :-1][same], rows[1, 1:][same]]), axis=1)
-            last = rows[:, -1:]
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+            if not batch.num_rows:
+                continue
+            keys, nodes = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+            begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            centres = nodes[begins]
+            if keys[0] == key:
+                centres[0] = centre
+            key, centre = keys[-1], centres[-1]
+            a, b = hang(np.repeat(centres, np.diff(begins, append=len(keys))), nodes)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     in_order = lambda rows: rows.repartition("key").sortWithinPartitions("key", "node")
     found = in_order(docs.mapInArrow(post, "key long, node long")).mapInArrow(repeated, "key long, node long, held int")
@@ -181,7 +201,7 @@ def _met(docs: DataFrame, sizes: DataFrame, n: int, percent: int) -> DataFrame:
     ranked = found.withColumn("repeated", F.count("*").over(own)).withColumn("rank", F.row_number().over(own.orderBy("held", "key")))
     ranked = ranked.join(sizes.select("node", "size"), "node")
     posted = ranked.where(F.col("rank") <= F.col("repeated") - least_shared(F.col("size"), percent) + 1).select("key", "node")
-    return in_order(posted).mapInArrow(neighbours, "a long, b long").distinct()
+    return in_order(posted).mapInArrow(stars, "a long, b long").distinct()
 
 
 def _groups(members: DataFrame) -> DataFrame:
@@ -345,10 +365,11 @@ def jaccard_classes(docs: DataFrame, n: int = 3, percent: int = 90, doc_id: str
     large = groups.where("many AND size(nodes) > 0")
     if not large.isEmpty():
         first = large.groupBy("family").agg(F.min("group").alias("group"))
-        links = written(links.unionByName(_across(large.join(first, ["family", "group"]), large, percent)), "jaccard-links")
-        classes = written(connected_components(links, "jaccard-classes"), "jaccard-classes")
+        links = links.unionByName(_across(large.join(first, ["family", "group"]), large, percent))
+        classes = connected_components(links, "jaccard-classes")
         outside = written(_outside(large, first, classes), "jaccard-outside")
-        links = links.unionByName(_across(_bounded(outside, large, percent), large, percent))
+        more = _across(_bounded(outside, large, percent), large, percent)
+        links = classes.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
     classes = connected_components(links, "jaccard-links")
     named = classes.join(reps, "node").select("node", "component", "doc_id")
     named = named.join(named.groupBy("component").agg(F.min("doc_id").alias("least")), "component").select("node", "least", F.col("component").alias("class"))

@@ -192,3 +192,42 @@ def test_similar_equals_brute_force(spark, edited):
 def test_join_query_equals_sql(spark):
     name = "op8_jaccard_join"
     assert difference(queries.QUERIES[name](spark, SMALL), connect(SMALL), queries.SQL[name]) is None
+
+
+def test_pairs_of_a_batch_hang_on_their_smallest():
+    import numpy as np
+
+    rnd = random.Random(3)
+    for size in (0, 1, 5, 60, 400):
+        pairs = [(rnd.randrange(-size, size), rnd.randrange(-size, size)) for _ in range(size)] + [(k, k + 1) for k in range(1000, 1000 + size)]
+        rnd.shuffle(pairs)
+        root = {x: x for p in pairs for x in p}
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in pairs:
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+        a, b = jaccard_join.hang(*np.array(pairs, np.int64).reshape(-1, 2).T)
+        assert sorted(zip(b.tolist(), a.tolist())) == sorted((x, find(x)) for x in root if find(x) != x)
+
+
+def test_components_of_random_graphs(spark):
+    rnd = random.Random(4)
+    edges = [(1000 * g + rnd.randrange(60), 1000 * g + rnd.randrange(60)) for g in range(12) for _ in range(5 * g)] + [(-7, k) for k in range(13_000, 13_300)]
+    root = {x: x for a, b in edges if a != b for x in (a, b)}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    found = [tuple(r) for r in connected_components(spark.createDataFrame(edges * 2, "a long, b long")).collect()]
+    assert sorted(found) == sorted((x, find(x)) for x in root)
