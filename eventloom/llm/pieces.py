@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from itertools import chain, filterfalse
 
 import regex
 
@@ -31,13 +30,25 @@ LONGEST = 256
 MOST_BYTES = 32 << 20
 
 
+class _Known(dict):
+    """Packed ids by word. A word that is looked up and not there gets a place, and is in `new` until the place is filled."""
+
+    def __init__(self, given: dict[str, bytes]):
+        super().__init__(given)
+        self.new: dict[str, bytearray] = {}
+
+    def __missing__(self, word: str) -> bytearray:
+        self[word] = self.new[word] = place = bytearray()
+        return place
+
+
 class WordEncoder:
     """Packed ids of texts, put together from those of their words.
 
-    `encode_words` is asked for the words of a batch that aren't remembered. When more than
-    `remembered` words, or `most_bytes` of them and their ids, would be, all are forgotten, so memory is
-    bounded by count and by size; no result depends on it. `special` has the packed ids of added tokens, at
-    which texts are cut first, the longest first.
+    Each word of a text is looked up once, as that is most of the work; `encode_words` is asked for the words of
+    a batch that weren't remembered. When more than `remembered` words, or `most_bytes` of them and their ids, are
+    there after a batch, all are forgotten, so memory is bounded by count and by size; no result depends on it.
+    `special` has the packed ids of added tokens, at which texts are cut first, the longest first.
     """
 
     def __init__(self, encode_words: Callable[[list[str]], list[bytes]], special: dict[str, bytes], remembered: int, most_bytes: int = MOST_BYTES):
@@ -47,35 +58,40 @@ class WordEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, bytes] = dict(self.special)
-        self.bytes = 0
+        self.known, self.bytes = _Known(self.special), 0
 
     def _parts(self, text: str) -> list[str]:
         if self.cut is None or not self.cut.search(text):
             return words(text)
         return [w for part in self.cut.split(text) for w in ([part] if part in self.special else words(part))]
 
-    def _unknown(self, parts: list[list[str]]) -> list[str]:
-        known = self.known.__contains__
-        return list(set(chain.from_iterable(filterfalse(known, own) for own in parts)))
-
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        parts = [self._parts(t) if t else [] for t in texts]
-        new = self._unknown(parts)
-        if len(self.known) + len(new) > self.remembered or self.bytes > self.most_bytes:
-            self.forget()
-            new = self._unknown(parts)
-        if new:
-            made = self.encode_words(new)
-            self.known.update(zip(new, made))
-            self.bytes += sum(map(len, new)) + sum(map(len, made))
         get = self.known.__getitem__
-        out = [b"".join(map(get, own)) for own in parts]
-        for word in new:
-            if len(word) > LONGEST:
-                self.bytes -= len(word) + len(self.known.pop(word))
+        found = [list(map(get, self._parts(t))) if t else [] for t in texts]
+        if self.known.new:
+            try:
+                self._fill()
+            except BaseException:
+                self.forget()  # places without ids
+                raise
+        out = [b"".join(own) for own in found]
+        if len(self.known) > self.remembered or self.bytes > self.most_bytes:
+            self.forget()
         return out
 
+    def _fill(self) -> None:
+        """Give the new words their ids, in the places that texts hold already."""
+        new = self.known.new
+        made = self.encode_words(list(new))
+        for (word, place), ids in zip(new.items(), made, strict=True):
+            place += ids
+            if len(word) > LONGEST:
+                del self.known[word]
+            else:
+                self.known[word] = ids
+                self.bytes += len(word) + len(ids)
+        self.known.new = {}
+
 
 class Memo(dict):
     """Results by piece, forgotten all at once when there are `most` of them or `most_bytes` characters, so that memory is bounded."""

@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 from eventloom.llm import bpe, queries, token_count, token_files
-from eventloom.llm.pieces import LONGEST, Memo, WordEncoder
+from eventloom.llm.pieces import LONGEST, Memo, WordEncoder, words
 from eventloom.llm.workspace import new_folder
 
 BPE, UNIGRAM = queries.vocabulary(queries.TOKENIZER), queries.vocabulary(queries.UNIGRAM)
@@ -132,3 +132,32 @@ def test_decoding_in_the_same_pass(awkward):
     both = bpe.encode(awkward, BPE, decoded="again").collect()
     apart = bpe.decode(bpe.encode(awkward, BPE), BPE, text="again").collect()
     assert sorted(map(repr, both)) == sorted(map(repr, apart)) and all(r.again == (r.text or "") for r in both)
+
+
+def test_a_known_word_is_looked_up_once(monkeypatch):
+    class Counted(str):
+        hashed = 0
+
+        def __hash__(self):
+            Counted.hashed += 1
+            return super().__hash__()
+
+    mine = WordEncoder(lambda new: [w.encode() for w in new], {}, remembered=100)
+    assert mine(["a b a", None, " c"]) == [b"a b a", b"", b" c"]
+    monkeypatch.setattr("eventloom.llm.pieces.words", lambda text: [Counted(w) for w in words(text)])
+    assert mine(["a b a", "c"]) == [b"a b a", b"c"]
+    # Three known words and a new one, which is also put down.
+    assert 4 <= Counted.hashed <= 8
+    Counted.hashed = 0
+    assert mine([" c a b"] * 50) == [b" c a b"] * 50 and Counted.hashed == 150
+
+
+def test_words_that_could_not_be_encoded_are_not_remembered():
+    def broken(new):
+        raise ValueError(new)
+
+    mine = WordEncoder(broken, {}, remembered=100)
+    with pytest.raises(ValueError):
+        mine(["a b"])
+    mine.encode_words = lambda new: [w.encode() for w in new]
+    assert mine(["a b"]) == [b"a b"]
