@@ -15,7 +15,8 @@ from eventloom.sources.raw import Layout
 # by day, and are written without a shuffle and without a sort, which would take the widest rows of all:
 # they keep the order of the raw files. Where those are sorted by event name, so are the staged files, and
 # a read of the purchases skips nearly all row groups. Session and order tables are always read whole, so they are
-# not split by day, which would cost a shuffle. The two wide daily marts are small.
+# not split by day, which would cost a shuffle. Nor is the performance of products, which has nearly as many rows as
+# there are items where products are many. The daily segments are few.
 TABLES = {
     "stg_events": Layout("event_date"),
     "stg_items": Layout("event_date"),
@@ -27,7 +28,7 @@ TABLES = {
     "executive_daily": Layout(),
     "funnel_daily": Layout(),
     "funnel_segment": Layout("metric_date", rebalance=True),
-    "product_performance": Layout("metric_date", rebalance=True),
+    "product_performance": Layout(),
     "product_opportunity": Layout(),
     "customer_summary": Layout(),
     "cohort_retention": Layout(),

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventloom.sources.raw import Layout, laid_out
+from eventloom.sources.raw import CODEC, Layout, laid_out
 
 MANIFESTS = "manifests"
 VERSION = "version"
@@ -165,10 +165,11 @@ def publish(
         # Above the last shuffle, so that each row is counted by the task whose file is kept.
         rows = rows.observe(seen, *[value.alias(name) for name, value in measures.items()])
     folder = f"{path}/{VERSION}={version}"
+    writer = rows.write.option("compression", CODEC)
     if layout.bucket is not None:
-        rows.write.bucketBy(layout.buckets, layout.bucket).sortBy(layout.bucket).option("path", folder).saveAsTable(_table(version))
+        writer.bucketBy(layout.buckets, layout.bucket).sortBy(layout.bucket).option("path", folder).saveAsTable(_table(version))
     else:
-        writer = rows.write if layout.day is None else rows.write.partitionBy(layout.day)
+        writer = writer if layout.day is None else writer.partitionBy(layout.day)
         writer.parquet(folder)
     files = _Files(spark, path)
     if layout.day is None:

@@ -1,6 +1,7 @@
 """What the physical plans must look like when no side is small enough to broadcast."""
 
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -255,3 +256,17 @@ def test_a_task_with_more_days_than_open_files_writes_them_all(spark, tmp_path):
     rows = spark.range(0, 9000, 1, 1).select("id", F.when(F.col("id") % 91 > 0, day).alias("day"))
     found = versions.publish(rows, str(tmp_path / "days"), Layout("day"))
     assert found.exceptAll(rows).isEmpty() and found.count() == 9000
+
+
+def test_product_performance_is_written_without_a_shuffle_of_its_own(tables, no_broadcast):
+    df = tables.plan("product_performance")
+    laid = physical(laid_out(df, TABLES["product_performance"]))
+    assert laid.count("Exchange") == physical(df).count("Exchange") and "rebalance" not in laid.lower()
+    assert tables["product_performance"].exceptAll(df).isEmpty() and df.exceptAll(tables["product_performance"]).isEmpty()
+
+
+def test_tables_and_export_are_written_with_the_codec(tables):
+    folder = tables._warehouse
+    for name in ("../raw", "stg_items", "product_performance"):
+        files = list(Path(folder, name).resolve().rglob("*.parquet"))
+        assert files and all(f.name.endswith(".zstd.parquet") for f in files), name
