@@ -32,6 +32,9 @@ from eventloom.llm.workspace import written
 
 SEQUENCE = 2048
 ROWS = 64
+#: Words that the library is asked for at once, and the space as byte-level tokens write it.
+TOGETHER = 64
+SPACE = "Ġ"
 INDEX = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64())])
 LISTED = "path string, index string, low long, documents long, tokens long"
 
@@ -57,7 +60,11 @@ class LibraryEncoder:
         by_word = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space")
         if by_word and not stored.get("normalizer") and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added):
             special = {t["content"]: np.array([t["id"]], self.kind).tobytes() for t in added}
-            self.encode = WordEncoder(self.ask, special, remembered)
+            vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+            self.spaced = np.zeros(max(self.tokenizer.get_vocab().values(), default=-1) + 1, bool)
+            self.spaced[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
+            self.together = 1 if any(" " in t for t in special) else TOGETHER
+            self.encode = WordEncoder(self.ask_words, special, remembered)
         else:
             self.encode = lambda texts: self.ask([t or "" for t in texts])
 
@@ -65,6 +72,20 @@ class LibraryEncoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.kind).tobytes() for e in found]
 
+    def ask_words(self, new: list[str]) -> list[bytes]:
+        """Ids of words that differ. Those of letters behind a space are asked many at a time, end to end, as a text
+        costs the library as much again as its words; there a word begins at each token that begins with the space."""
+        behind = [w for w in new if w[0] == " " and w[1:].isalpha()] if self.together > 1 else []
+        groups = [behind[at : at + self.together] for at in range(0, len(behind), self.together)]
+        made: dict[str, bytes] = {}
+        for group, packed in zip(groups, self.ask(["".join(g) for g in groups])):
+            starts = np.flatnonzero(self.spaced[np.frombuffer(packed, self.kind)]) * self.kind.itemsize
+            if len(starts) == len(group):  # else there are words without a token for the space
+                made.update(zip(group, map(packed.__getitem__, map(slice, starts.tolist(), [*starts[1:].tolist(), len(packed)]))))
+        alone = [w for w in new if w not in made]
+        made.update(zip(alone, self.ask(alone)))
+        return [made[w] for w in new]
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str, remembered: int) -> LibraryEncoder:

@@ -161,3 +161,27 @@ def test_words_that_could_not_be_encoded_are_not_remembered():
         mine(["a b"])
     mine.encode_words = lambda new: [w.encode() for w in new]
     assert mine(["a b"]) == [b"a b"]
+
+
+def test_new_words_are_asked_together():
+    mine, asked = token_files.LibraryEncoder(BPE, 1000), []
+    new = [f" {a}{b}" for a in "abcdefgh" for b in ("", "and", "éß", "日本", "٣", "!")] + ["and", "  ", " ", "\n", " \x1c", " ǅ"]
+    alone = [np.array(e.ids, mine.kind).tobytes() for e in mine.tokenizer.encode_batch(new, add_special_tokens=False)]
+    ask = mine.ask
+    mine.ask = lambda texts: asked.extend(texts) or ask(texts)
+    assert mine.ask_words(new) == alone and mine.ask_words([]) == []
+    assert len(asked) < len(new) / 2
+
+
+def test_words_are_asked_alone_where_tokens_do_not_show_their_begin(tmp_path):
+    """A vocabulary without the space, and an added token that holds one."""
+    words_only = Tokenizer(models.WordLevel({"Ġa": 0, "b": 1, "[UNK]": 2}, unk_token="[UNK]"))
+    words_only.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    words_only.save(str(tmp_path / "plain.json"))
+    words_only.add_special_tokens(["a b"])
+    words_only.save(str(tmp_path / "added.json"))
+    for name in ("plain", "added"):
+        mine, library = token_files.LibraryEncoder(str(tmp_path / f"{name}.json"), 100), Tokenizer.from_file(str(tmp_path / f"{name}.json"))
+        texts = ["a b c", "b a b a", " a a b x", "a  b", ""]
+        want = [np.array(e.ids, mine.kind).tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert isinstance(mine.encode, WordEncoder) and mine.encode(texts) == want
